@@ -58,7 +58,12 @@ def with_sentences(df: DataFrame, text_col: str, out_col: str = "sents") -> Data
     out = out.withColumn(out_col, F.expr(
         f"transform(arrays_zip(`{p}`, `{st}`), (z, i) -> named_struct("
         f"'i', i, 'start', z.`{st}`, 'end', z.`{st}` + length({rstrip}), 'text', {rstrip}))"))
-    out = out.withColumn(out_col, F.when(F.col(text_col).isNotNull(), F.col(out_col)))
+    # Optimizer barrier: the guard is always true but nondeterministic, so Catalyst
+    # neither pushes later filters (e.g. the one inferred for explode/inline) through this
+    # projection nor inlines the arrays into consumers. Without it the whole expression
+    # is re-inlined into lambda bodies and the per-document cost becomes super-linear.
+    guard = F.spark_partition_id() >= 0
+    out = out.withColumn(out_col, F.when(F.col(text_col).isNotNull() & guard, F.col(out_col)))
     return out.drop(p, ln, bs, bo, st)
 
 

@@ -87,7 +87,7 @@ def any_pattern(col, patterns, case_insensitive: bool = True) -> Column:
     """F8: one alternation for all patterns."""
     if not patterns:
         return F.lit(False)
-    flags = "(?i)" if case_insensitive else ""
+    flags = "(?iu)" if case_insensitive else ""
     return F.coalesce(_c(col).rlike(flags + "|".join(f"(?:{p})" for p in patterns)), F.lit(False))
 
 

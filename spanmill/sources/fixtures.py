@@ -25,23 +25,23 @@ from pyspark.sql import functions as F
 from ..functions.sentences import MARK, with_sentences
 from ..operators.ranking import scalar, with_group_row_number, with_row_number
 from ..options import ANSWER_END_MARKER, ANSWER_START_MARKER
-from .tables import Tables
+from .tables import Tables, spread
 
 REFUSAL_REPLY = "As an AI, I cannot provide an answer to this question."
 
 
 def usable_documents(t: Tables) -> DataFrame:
     """Documents whose text can be segmented (U+0001 is the split mark)."""
-    d = t.documents
-    return d.filter(F.col("text").isNotNull() & (F.instr("text", MARK) == 0))
+    return t.view("usable_documents", lambda: spread(
+        t.documents.filter(F.col("text").isNotNull() & (F.instr("text", MARK) == 0))))
 
 
-def sentences_long(t: Tables) -> DataFrame:
+def _sentences_long(t: Tables) -> DataFrame:
     d = with_sentences(usable_documents(t).select("doc_id", "text"), "text", "sents")
     return d.select("doc_id", F.inline("sents"))
 
 
-def questions(t: Tables) -> DataFrame:
+def _questions(t: Tables) -> DataFrame:
     c = t.conversations
     user = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
     reply = c.filter(F.col("role") == "assistant").select(
@@ -50,7 +50,7 @@ def questions(t: Tables) -> DataFrame:
     return with_row_number(pairs, ["conv_id", "turn"], "k")
 
 
-def negative_texts(t: Tables, shifts=(1, 2, 3)) -> DataFrame:
+def _negative_texts(t: Tables, shifts=(1, 2, 3)) -> DataFrame:
     """(doc_id, negs): texts at cyclic shifts of the md5 order inside the language."""
     d = usable_documents(t).select("doc_id", "lang", "text",
                                    F.md5(F.col("doc_id").cast("string")).alias("h"))
@@ -65,7 +65,7 @@ def negative_texts(t: Tables, shifts=(1, 2, 3)) -> DataFrame:
             .select("doc_id", F.transform("negs", lambda x: x["neg"]).alias("negs")))
 
 
-def qa_flat(t: Tables) -> DataFrame:
+def _qa_flat(t: Tables) -> DataFrame:
     """One row per document: ord, doc_id, lang, source, text, sents, question, answer,
     answer_start."""
     q = questions(t)
@@ -86,7 +86,7 @@ def qa_flat(t: Tables) -> DataFrame:
                     "question", "answer", "answer_start"))
 
 
-def qa_items(t: Tables) -> DataFrame:
+def _qa_items(t: Tables) -> DataFrame:
     """Retrieval items in the nested model (question, answers, positive_ctxs,
     hard_negative_ctxs) plus ``ord``."""
     flat = qa_flat(t)
@@ -99,7 +99,7 @@ def qa_items(t: Tables) -> DataFrame:
     )
 
 
-def spans(t: Tables) -> DataFrame:
+def _spans(t: Tables) -> DataFrame:
     """Span items (question, context, answers{text, answer_start}, ord)."""
     flat = qa_flat(t).filter(F.pmod("doc_id", F.lit(5)) != 0)
     good = flat.select("question", F.col("text").alias("context"), "answer",
@@ -134,3 +134,27 @@ def verdicts(t: Tables) -> DataFrame:
     return t.labels.select(F.col("doc_id").alias("ord"), (F.col("quality") == 1).alias("is_valid"),
                            F.when(F.col("quality") != 1, F.lit("context does not hold the answer"))
                            .alias("error_messages"))
+
+
+def questions(t: Tables) -> DataFrame:
+    return t.view("questions", lambda: _questions(t))
+
+
+def qa_flat(t: Tables) -> DataFrame:
+    return t.view("qa_flat", lambda: _qa_flat(t))
+
+
+def negative_texts(t: Tables) -> DataFrame:
+    return t.view("negative_texts", lambda: _negative_texts(t))
+
+
+def qa_items(t: Tables) -> DataFrame:
+    return t.view("qa_items", lambda: _qa_items(t))
+
+
+def spans(t: Tables) -> DataFrame:
+    return t.view("spans", lambda: _spans(t))
+
+
+def sentences_long(t: Tables) -> DataFrame:
+    return t.view("sentences_long", lambda: _sentences_long(t))

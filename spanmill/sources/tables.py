@@ -32,11 +32,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Row-local text work is CPU-heavy. When the source yields fewer splits than the
+    cluster has cores (a small single-row-group file), spread the rows round-robin;
+    a large input already has enough splits and is left alone (no extra shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 class Tables:
-    """Lazy access to the tables of one data folder."""
+    """Lazy access to the tables of one data folder. Derived views are memoised per
+    instance, so a query that uses one view twice builds one plan (and Spark reuses
+    its exchanges)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._views: dict = {}
+
+    def view(self, name: str, build):
+        if name not in self._views:
+            self._views[name] = build()
+        return self._views[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import prompts as G
 from ..options import DEFAULT_JUDGE_TEMPLATE, GenerateOptions
+from ..session import cut_lineage
 
 INSTRUCTION_COLUMNS = ["ord", "block", "instruction", "response", "category"]
 
@@ -25,11 +26,15 @@ class InstructionsResult:
 
 
 def build_instructions(subset_rows: DataFrame, replies: DataFrame,
-                       opts: GenerateOptions = GenerateOptions()) -> InstructionsResult:
+                       opts: GenerateOptions = GenerateOptions(),
+                       materialize: bool = False) -> InstructionsResult:
     prompts = G.render_prompts(subset_rows, opts.template)
     replied, no_reply = G.attach_replies(subset_rows, replies)
     rows, bad = G.parse_replies(replied, opts)
-    return InstructionsResult(prompts, G.cap_rows(rows, opts.target_count), no_reply.unionByName(bad))
+    rows = G.cap_rows(rows, opts.target_count)
+    if materialize:
+        rows = cut_lineage(rows)
+    return InstructionsResult(prompts, rows, no_reply.unionByName(bad))
 
 
 @dataclass

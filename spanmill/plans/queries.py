@@ -43,9 +43,10 @@ def _t(spark, sf_dir) -> Tables:
     return Tables(spark, sf_dir)
 
 
-def _subset(spark, sf_dir, policy="longest"):
+def _subset(spark, sf_dir, policy="longest", materialize=False):
     t = _t(spark, sf_dir)
-    return build_subset(fx.qa_items(t), fx.spans(t), SubsetOptions(rules=QUERY_RULES, policy=policy))
+    return build_subset(fx.qa_items(t), fx.spans(t), SubsetOptions(rules=QUERY_RULES, policy=policy),
+                        materialize=materialize)
 
 
 # ---- X7 / X8 / W1 / W2 ---------------------------------------------------------

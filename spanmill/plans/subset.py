@@ -15,6 +15,7 @@ from ..functions.text import token_estimate
 from ..operators.clean import ANSWER, collapse, exclude
 from ..operators.pairing import pair_answer_start, single_sentence_context
 from ..options import SubsetOptions
+from ..session import cut_lineage
 
 
 @dataclass
@@ -25,11 +26,16 @@ class SubsetResult:
 
 
 def build_subset(items: DataFrame, span_items: DataFrame,
-                 opts: SubsetOptions = SubsetOptions()) -> SubsetResult:
+                 opts: SubsetOptions = SubsetOptions(), materialize: bool = False) -> SubsetResult:
+    """``materialize``: checkpoint the cut into the shared checkpoint folder (the stage
+    hand-off of the original pipeline), so later stages and their size checks read it
+    instead of recomputing the lineage."""
     kept = exclude(items, opts.rules)
     collapsed = collapse(kept, opts.policy, opts.seed)
     paired = pair_answer_start(collapsed, span_items)
     cut = single_sentence_context(paired, opts.require_full_span)
+    if materialize:
+        cut = cut_lineage(cut.drop("positive_ctxs", "hard_negative_ctxs"))
     rows = cut.filter(F.col("reason").isNull()).select(
         "ord", "question", ANSWER().alias("answer_span"), "sentence_context")
     rejects = cut.filter(F.col("reason").isNotNull()).select(

@@ -8,7 +8,7 @@ position numbering, the item lookup and the derangement self-join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.sentences import MARK, SPLIT_RE
@@ -34,13 +34,15 @@ def param_grid(spark: SparkSession, max_pos: int, max_neg: int, max_len: int) ->
             & ~((p == 0) & (pl != 0)) & ~((n == 0) & (nl != 0))
             & ~((p > 1) & (pl == -1)) & ~((n > FULL_NEGATIVES_AVAILABLE) & (nl == -1)))
     g = g.filter(keep)
-    return with_row_number(g, GRID_COLS, "p_idx", num_partitions=1)
+    # the grid has at most (max_pos+1)*(max_neg+1)*(len+2)^2 rows: one small window is fine
+    return g.withColumn("p_idx", (F.row_number().over(Window.orderBy(*GRID_COLS)) - 1).cast("bigint"))
 
 
 def split_grid(grid: DataFrame) -> tuple[DataFrame, DataFrame]:
     """M2: answerable grid (n_pos > 0) and unanswerable grid (n_pos = 0), each renumbered."""
-    ans = with_row_number(grid.filter(F.col("n_pos") > 0).drop("p_idx"), GRID_COLS, "p_idx", 1)
-    una = with_row_number(grid.filter(F.col("n_pos") == 0).drop("p_idx"), GRID_COLS, "p_idx", 1)
+    w = Window.orderBy(*GRID_COLS)
+    ans = grid.filter(F.col("n_pos") > 0).withColumn("p_idx", (F.row_number().over(w) - 1).cast("bigint"))
+    una = grid.filter(F.col("n_pos") == 0).withColumn("p_idx", (F.row_number().over(w) - 1).cast("bigint"))
     return ans, una
 
 
@@ -48,11 +50,9 @@ def round_robin(rows: DataFrame, grid: DataFrame, limit: Column | None = None) -
     """Row ``i`` gets grid row ``i mod k``; ``limit`` keeps only rows with i < limit.
     The grid is tiny (bounded by the parameters) and broadcast; an empty grid gives an
     empty pass instead of a division by zero."""
-    k = grid.count()
-    if k == 0:
-        return rows.limit(0).join(F.broadcast(grid), F.lit(False))
+    k = grid.select(F.count(F.lit(1))).scalar()
     r = rows if limit is None else rows.filter(F.col("i") < limit)
-    return r.withColumn("p_idx", F.pmod(F.col("i"), F.lit(k))).join(F.broadcast(grid), "p_idx")
+    return r.withColumn("p_idx", F.when(k > 0, F.pmod(F.col("i"), k))).join(F.broadcast(grid), "p_idx")
 
 
 def _materialize(df: DataFrame, name: str, expr: Column) -> DataFrame:

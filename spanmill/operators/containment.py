@@ -19,6 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
+# The nested loop does |texts| x |needles| substring tests: it is the choice only for a
+# small needle side. Beyond that the anchor join's work grows with the input, not the product.
+NESTED_LOOP_MAX_NEEDLES = 256
 BROADCAST_MAX_ROWS = 20_000
 BROADCAST_MAX_CHARS = 50_000_000
 
@@ -107,7 +110,8 @@ def contain_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_col: str,
                  mode: str = "auto") -> DataFrame:
     """Pairs with needle ⊂ hay. ``mode``: auto (size check), broadcast, anchor."""
     if mode == "auto":
-        mode = "broadcast" if _fits_broadcast(needles, needle_col) else "anchor"
+        row = needles.agg(F.count(F.lit(1)).alias("n")).first()
+        mode = "broadcast" if row["n"] <= NESTED_LOOP_MAX_NEEDLES else "anchor"
     if mode == "broadcast":
         return nested_loop(hay, needles, hay_col, needle_col, extra)
     if mode == "anchor":

@@ -39,12 +39,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def _t(spark, sf_dir) -> Tables:
-    return Tables(spark, sf_dir)
+def _t(spark, sf_dir, materialize: bool = False) -> Tables:
+    return Tables(spark, sf_dir, materialize)
 
 
-def _subset(spark, sf_dir, policy="longest", materialize=False):
-    t = _t(spark, sf_dir)
+def _subset(spark, sf_dir, policy="longest", materialize=False, t=None):
+    t = t or _t(spark, sf_dir, materialize)
     return build_subset(fx.qa_items(t), fx.spans(t), SubsetOptions(rules=QUERY_RULES, policy=policy),
                         materialize=materialize)
 

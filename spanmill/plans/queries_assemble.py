@@ -17,8 +17,8 @@ SEP_SQL = "chr(30)"
 
 
 def _dataset(spark, sf_dir):
-    t = _t(spark, sf_dir)
-    rows = _instructions(spark, sf_dir, materialize=True).rows
+    t = _t(spark, sf_dir, materialize=True)
+    rows = _instructions(spark, sf_dir, materialize=True, t=t).rows
     return build_dataset(spark, rows, fx.qa_items(t))
 
 

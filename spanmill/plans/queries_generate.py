@@ -68,8 +68,8 @@ O.cte("judged", """
 SELECT i.*, v.is_valid FROM instr i JOIN parsed p USING (ord, block) LEFT JOIN verdicts v USING (ord)""")
 
 
-def _instructions(spark, sf_dir, target=None, materialize=False):
-    sub = _subset(spark, sf_dir, materialize=materialize).rows
+def _instructions(spark, sf_dir, target=None, materialize=False, t=None):
+    sub = _subset(spark, sf_dir, materialize=materialize, t=t).rows
     return build_instructions(sub, fx.responses(sub), GenerateOptions(target_count=target),
                               materialize=materialize)
 

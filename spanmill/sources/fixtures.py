@@ -141,7 +141,7 @@ def questions(t: Tables) -> DataFrame:
 
 
 def qa_flat(t: Tables) -> DataFrame:
-    return t.view("qa_flat", lambda: _qa_flat(t))
+    return t.view("qa_flat", lambda: _qa_flat(t), heavy=True)
 
 
 def negative_texts(t: Tables) -> DataFrame:
@@ -149,7 +149,7 @@ def negative_texts(t: Tables) -> DataFrame:
 
 
 def qa_items(t: Tables) -> DataFrame:
-    return t.view("qa_items", lambda: _qa_items(t))
+    return t.view("qa_items", lambda: _qa_items(t), heavy=True)
 
 
 def spans(t: Tables) -> DataFrame:

@@ -47,13 +47,19 @@ class Tables:
     instance, so a query that uses one view twice builds one plan (and Spark reuses
     its exchanges)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
+        self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
         self._views: dict = {}
 
-    def view(self, name: str, build):
+    def view(self, name: str, build, heavy: bool = False):
+        """``heavy`` views are checkpointed into the shared folder when the instance
+        materializes (multi-stage plans read them several times)."""
         if name not in self._views:
-            self._views[name] = build()
+            df = build()
+            if heavy and self.materialize:
+                from ..session import cut_lineage
+                df = cut_lineage(df)
+            self._views[name] = df
         return self._views[name]
 
     def __getattr__(self, name: str) -> DataFrame:

@@ -31,11 +31,15 @@ def build_subset(items: DataFrame, span_items: DataFrame,
     hand-off of the original pipeline), so later stages and their size checks read it
     instead of recomputing the lineage."""
     kept = exclude(items, opts.rules)
+    # column pruning: entry 1 only needs these fields after the rules ran, so upstream
+    # columns (titles, hard negatives) are never computed or carried through the shuffle
+    kept = kept.select("ord", "question", "answers",
+                       F.struct(F.col("positive_ctxs.text").alias("text")).alias("positive_ctxs"))
     collapsed = collapse(kept, opts.policy, opts.seed)
     paired = pair_answer_start(collapsed, span_items)
     cut = single_sentence_context(paired, opts.require_full_span)
     if materialize:
-        cut = cut_lineage(cut.drop("positive_ctxs", "hard_negative_ctxs"))
+        cut = cut_lineage(cut.drop("positive_ctxs"))
     rows = cut.filter(F.col("reason").isNull()).select(
         "ord", "question", ANSWER().alias("answer_span"), "sentence_context")
     rejects = cut.filter(F.col("reason").isNotNull()).select(

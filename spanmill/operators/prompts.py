@@ -23,6 +23,17 @@ def _rejects(df: DataFrame, stage: str, reason_col: str = "reason") -> DataFrame
     return df.select(F.lit(stage).alias("stage"), key.alias("key"), F.col(reason_col).alias("reason"))
 
 
+def read_template(path: str | None, default: str) -> str:
+    """The prompt template is a small driver-side literal: the given file if it
+    exists, else the default (it becomes ``lit`` pieces in ``render_template``)."""
+    import os
+
+    if path and os.path.exists(path):
+        with open(path, encoding="utf-8") as f:
+            return f.read()
+    return default
+
+
 def render_prompts(subset: DataFrame, template: str) -> DataFrame:
     """One prompt per subset row."""
     return subset.select("ord", render_template(template, context="sentence_context", question="question",

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 # The nested loop does |texts| x |needles| substring tests: it is the choice only for a
@@ -24,6 +25,8 @@ TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 NESTED_LOOP_MAX_NEEDLES = 256
 BROADCAST_MAX_ROWS = 20_000
 BROADCAST_MAX_CHARS = 50_000_000
+# anchor keys are (k, 64-bit hash, needle id): a few million fit a broadcast comfortably
+ANCHOR_BROADCAST_MAX_ROWS = 2_000_000
 
 
 def _materialize(df: DataFrame, name: str, expr: Column) -> DataFrame:
@@ -90,9 +93,19 @@ def anchor_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_col: str,
     """All (hay row, needle row) pairs with needle ⊂ hay text (and ``extra``), exact."""
     anchored = _needle_anchor(needles.select(needle_id, needle_col), needle_col)
     keyed = anchored.filter(F.col("__k") > 0).select(needle_id, "__k", _run_hash(F.col("__run")).alias("__h"))
-    ks = [1, 3]
-    runs = _text_runs(hay, hay_col, hay_id, ks)
-    cand = runs.join(keyed, ["__k", "__h"]).select(hay_id, needle_id).distinct()
+    # one small driver read: which run lengths are used and how many anchors there are
+    stats = {r["__k"]: r["n"] for r in keyed.groupBy("__k").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ks = sorted(stats)
+    if ks:
+        runs = _text_runs(hay, hay_col, hay_id, ks)
+        # a bounded anchor set is broadcast, so the text runs are filtered where they are
+        # produced and only matching runs ever leave the map side
+        small = sum(stats.values()) <= ANCHOR_BROADCAST_MAX_ROWS
+        cand = runs.join(F.broadcast(keyed) if small else keyed, ["__k", "__h"]) \
+            .select(hay_id, needle_id).distinct()
+    else:
+        schema = T.StructType([hay.schema[hay_id], needles.schema[needle_id]])
+        cand = hay.sparkSession.createDataFrame([], schema)
     full = (cand.join(hay, hay_id).join(needles, needle_id))
     cond = F.contains(F.col(hay_col), F.col(needle_col))
     if extra is not None:

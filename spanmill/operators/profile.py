@@ -20,6 +20,13 @@ def distinct_overlap(a: DataFrame, b: DataFrame, col_a: Column, col_b: Column) -
                          F.count_if(F.col("in_a") & F.col("in_b")).alias("n_both"))
 
 
+def distinct_counts(df: DataFrame, columns: dict[str, Column], approx: bool = False) -> DataFrame:
+    """A2: distinct values per column in one pass; ``approx`` uses HyperLogLog++
+    (bounded memory per column, for inputs where exact distinct sets are too large)."""
+    agg = (lambda c: F.approx_count_distinct(c, 0.01)) if approx else F.count_distinct
+    return df.agg(*[agg(c).cast("bigint").alias(name) for name, c in columns.items()])
+
+
 def duplicated_values(df: DataFrame, value: Column, ord_col: str = "ord") -> DataFrame:
     """A3: values seen more than once, with their count and first-seen ord."""
     return (df.groupBy(value.alias("value"))

@@ -32,6 +32,15 @@ SELECT (SELECT count(DISTINCT {_sa}) FROM qa) AS n_a, (SELECT count(DISTINCT {_s
         _overlap(_ca, _cb))
 
 
+@register("distinct_counts", """
+SELECT count(DISTINCT question) AS questions, count(DISTINCT text) AS contexts,
+       count(DISTINCT answer) AS answers, count(DISTINCT source) AS titles FROM qa""")
+def q_distinct_counts(spark, sf_dir):
+    items = fx.qa_items(_t(spark, sf_dir))
+    return P.distinct_counts(items, {"questions": F.col("question"), "contexts": CONTEXT(),
+                                     "answers": ANSWER(), "titles": F.get(F.col("positive_ctxs.title"), 0)})
+
+
 @register("duplicate_values", """
 SELECT 'question' AS field, question AS value, count(*) AS n, min(ord) AS first_ord
 FROM qa GROUP BY question HAVING count(*) > 1

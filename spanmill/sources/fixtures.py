@@ -51,15 +51,17 @@ def _questions(t: Tables) -> DataFrame:
 
 
 def _negative_texts(t: Tables, shifts=(1, 2, 3)) -> DataFrame:
-    """(doc_id, negs): texts at cyclic shifts of the md5 order inside the language."""
-    d = usable_documents(t).select("doc_id", "lang", "text",
-                                   F.md5(F.col("doc_id").cast("string")).alias("h"))
+    """(doc_id, negs): texts at cyclic shifts of the md5 order inside the language.
+    Ranking and shifting move ids only; the texts are attached once at the end."""
+    d = usable_documents(t).select("doc_id", "lang", F.md5(F.col("doc_id").cast("string")).alias("h"))
     ranked = with_group_row_number(d, ["lang"], [F.col("h"), F.col("doc_id")], "r", "nl")
     wanted = (ranked.select("doc_id", "lang", "r", "nl")
               .withColumn("s", F.explode(F.array(*[F.lit(s) for s in shifts])))
               .withColumn("tr", F.pmod(F.col("r") + F.col("s"), F.col("nl"))))
-    targets = ranked.select("lang", F.col("r").alias("tr"), F.col("text").alias("neg"))
-    return (wanted.join(targets, ["lang", "tr"])
+    targets = ranked.select("lang", F.col("r").alias("tr"), F.col("doc_id").alias("neg_id"))
+    pairs = wanted.join(targets, ["lang", "tr"]).select("doc_id", "s", "neg_id")
+    texts = usable_documents(t).select(F.col("doc_id").alias("neg_id"), F.col("text").alias("neg"))
+    return (pairs.join(texts, "neg_id")
             .groupBy("doc_id")
             .agg(F.sort_array(F.collect_list(F.struct("s", "neg"))).alias("negs"))
             .select("doc_id", F.transform("negs", lambda x: x["neg"]).alias("negs")))
@@ -70,7 +72,11 @@ def _qa_flat(t: Tables) -> DataFrame:
     answer_start."""
     q = questions(t)
     n_q = scalar(q, F.count(F.lit(1)))
-    d = with_sentences(usable_documents(t), "text", "sents")
+    # attach the question first (a shuffle of documents), then segment: the sentence
+    # arrays are built after the join and never cross a shuffle
+    d = (usable_documents(t).withColumn("k", F.pmod(F.col("doc_id"), n_q))
+         .join(q.select("k", "question"), "k"))
+    d = with_sentences(d, "text", "sents")
     pick = F.element_at("sents", (F.pmod(F.col("doc_id"), F.size("sents")) + 1).cast("int"))
     d = (d.withColumn("__pick", pick)
          .withColumn("__words", F.split(F.col("__pick.text"), " ", -1))
@@ -79,11 +85,9 @@ def _qa_flat(t: Tables) -> DataFrame:
                      .otherwise(F.col("__pick.text")))
          .withColumn("answer_start", (F.col("__pick.start") + F.instr(F.col("__pick.text"), F.col("answer"))
                                       - 1).cast("bigint"))
-         .withColumn("k", F.pmod(F.col("doc_id"), n_q))
          .drop("__pick", "__words"))
-    return (d.join(q.select("k", "question"), "k")
-            .select(F.col("doc_id").alias("ord"), "doc_id", "lang", "source", "text", "sents",
-                    "question", "answer", "answer_start"))
+    return d.select(F.col("doc_id").alias("ord"), "doc_id", "lang", "source", "text", "sents",
+                    "question", "answer", "answer_start")
 
 
 def _qa_items(t: Tables) -> DataFrame:

@@ -66,8 +66,9 @@ def _needle_anchor(needles: DataFrame, needle_col: str) -> DataFrame:
     return d.withColumn("__run", best).drop("__tok", "__inner")
 
 
-def _run_hash(run: Column) -> Column:
-    return F.xxhash64(F.array_join(run, "\u0001"))
+def _run_hash(run: Column, k: int) -> Column:
+    """Hash of a run of k tokens, element-wise (no string is built per position)."""
+    return F.xxhash64(*[run[j] for j in range(k)])
 
 
 def _text_runs(hay: DataFrame, hay_col: str, id_col: str, ks: list[int]) -> DataFrame:
@@ -76,10 +77,10 @@ def _text_runs(hay: DataFrame, hay_col: str, id_col: str, ks: list[int]) -> Data
     parts = []
     for k in ks:
         if k == 1:
-            h = F.transform(F.array_distinct("__tok"), lambda w: _run_hash(F.array(w)))
+            h = F.transform(F.array_distinct("__tok"), lambda w: F.xxhash64(w))
         else:
             h = F.expr(f"transform(sequence(0, size(__tok) - {k}), "
-                       f"i -> xxhash64(array_join(slice(__tok, i + 1, {k}), '\u0001')))")
+                       f"i -> xxhash64({', '.join(f'__tok[i + {j}]' for j in range(k))}))")
             h = F.when(F.size("__tok") >= k, h).otherwise(F.array().cast("array<bigint>"))
         parts.append(d.select(id_col, F.lit(k).alias("__k"), F.explode(F.array_distinct(h)).alias("__h")))
     out = parts[0]
@@ -92,7 +93,9 @@ def anchor_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_col: str,
                 needle_id: str, needle_col: str, extra: Column | None = None) -> DataFrame:
     """All (hay row, needle row) pairs with needle ⊂ hay text (and ``extra``), exact."""
     anchored = _needle_anchor(needles.select(needle_id, needle_col), needle_col)
-    keyed = anchored.filter(F.col("__k") > 0).select(needle_id, "__k", _run_hash(F.col("__run")).alias("__h"))
+    keyed = anchored.filter(F.col("__k") > 0).select(
+        needle_id, "__k", F.when(F.col("__k") == 3, _run_hash(F.col("__run"), 3))
+        .otherwise(_run_hash(F.col("__run"), 1)).alias("__h"))
     # one small driver read: which run lengths are used and how many anchors there are
     stats = {r["__k"]: r["n"] for r in keyed.groupBy("__k").agg(F.count(F.lit(1)).alias("n")).collect()}
     ks = sorted(stats)

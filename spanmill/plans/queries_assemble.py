@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators.containment import contain_join
 from ..options import DEFAULT_SEED, NO_ANSWER_TEXT
 from ..sources import fixtures as fx
+from ..sources.tables import spread
 from . import oracle as O
 from .dataset import build_dataset
 from .queries import _t, register
@@ -33,7 +34,7 @@ _PAIRS_SQL = "SELECT b.item_id, d.doc_id FROM documents d JOIN benchmark b ON co
 def _pairs(mode):
     def run(spark, sf_dir):
         t = _t(spark, sf_dir)
-        hay = t.documents.select("doc_id", F.col("text").alias("hay"))
+        hay = spread(t.documents.select("doc_id", F.col("text").alias("hay")))
         needles = t.benchmark.select("item_id", F.col("text").alias("needle"))
         return contain_join(hay, needles, "doc_id", "hay", "item_id", "needle", mode=mode) \
             .select("item_id", "doc_id")

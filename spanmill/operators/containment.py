@@ -115,7 +115,10 @@ def anchor_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_col: str,
         cond = cond & extra
     long_pairs = full.filter(cond)
     short = needles.join(anchored.filter(F.col("__k") == 0).select(needle_id), needle_id, "left_semi")
-    if not _fits_broadcast(short, needle_col):
+    row = short.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(needle_col)).alias("c")).first()
+    if row["n"] == 0:
+        return long_pairs
+    if row["n"] > BROADCAST_MAX_ROWS or (row["c"] or 0) > BROADCAST_MAX_CHARS:
         raise ValueError("too many needles without an interior token for a broadcast nested loop")
     short_pairs = nested_loop(hay, short, hay_col, needle_col, extra)
     return long_pairs.unionByName(short_pairs.select(*long_pairs.columns))

@@ -10,7 +10,9 @@ Start offsets are prefix sums of the part lengths. Spark has no array scan, and
 naive ``aggregate(slice(lens, 1, i))`` per element is quadratic in the number of
 sentences, so the sums are computed in blocks of ``BLOCK`` parts: block totals,
 prefix of block totals, prefix inside the block. Cost per document is
-O(n * BLOCK + (n / BLOCK)^2), all inside codegen, no shuffle.
+O(n * BLOCK + (n / BLOCK)^2), JVM-side, no shuffle. (Spark evaluates higher-order
+functions interpreted, outside whole-stage codegen; the regex and split steps are
+ordinary expressions.)
 
 Every intermediate array is referenced at least twice by its consumer, so the
 optimizer keeps it as a materialised column instead of inlining it into a lambda
@@ -96,7 +98,7 @@ def sentence_window(text_col: str, sents_col: str, pos_col: str, radius: int = 1
     """Text from the start of sentence i-r to the end of sentence i+r, cut from the
     source text by offsets (original white space kept); i = sentence holding pos."""
     s, t, p = f"`{sents_col}`", f"`{text_col}`", f"`{pos_col}`"
-    i = f"filter({s}, x -> x.start <= {p} AND {p} < x.end)[0].i"
+    i = f"get(filter({s}, x -> x.start <= {p} AND {p} < x.end), 0).i"
     lo = f"{s}[greatest({i} - {radius}, 0)].start"
     hi = f"{s}[least({i} + {radius}, size({s}) - 1)].end"
     return F.expr(f"CASE WHEN {i} IS NULL THEN NULL ELSE substr({t}, {lo} + 1, {hi} - {lo}) END")

@@ -33,7 +33,7 @@ def cosine(a: Column, b: Column) -> Column:
                      lambda acc, v: acc + v)
     nb = F.aggregate(F.transform(b, lambda x: x.cast("double") * x.cast("double")), F.lit(0.0),
                      lambda acc, v: acc + v)
-    return dot / F.sqrt(na * nb)
+    return F.when(na * nb > 0, dot / F.sqrt(na * nb))
 
 
 def dissimilar_partners(df: DataFrame, id_col: str, vec_col: str, k: int, threshold: float,

@@ -108,7 +108,7 @@ def q_answer_offsets(spark, sf_dir):
     d = fx.qa_flat(_t(spark, sf_dir)).select("ord", all_offsets("text", "answer").alias("h"))
     return d.select("ord", F.size("h").cast("bigint").alias("n_hits"),
                     F.get("h", 0).cast("bigint").alias("first_hit"),
-                    F.element_at("h", -1).cast("bigint").alias("last_hit"),
+                    F.when(F.size("h") > 0, F.element_at("h", -1)).cast("bigint").alias("last_hit"),
                     F.when(F.size("h") > 0, F.aggregate("h", F.lit(0).cast("bigint"), lambda a, x: a + x))
                     .alias("sum_hits"))
 

@@ -85,10 +85,13 @@ def chunk_texts(sents_col: str, size_col) -> Column:
     """Groups of ``size`` sentences joined by one blank, the last may be short;
     size -1 = whole context re-joined (one chunk). Size 0 is rejected by the caller."""
     k = size_col if isinstance(size_col, str) else None
+    if k is None and int(size_col) == 0:
+        raise ValueError("chunk size 0 is not allowed (use -1 for whole contexts)")
     kk = f"`{k}`" if k else str(int(size_col))
     s = f"`{sents_col}`"
     return F.expr(
-        f"CASE WHEN {s} IS NULL THEN NULL "
+        f"CASE WHEN {kk} = 0 THEN raise_error('chunk size 0 is not allowed') "
+        f"WHEN {s} IS NULL THEN NULL "
         f"WHEN {kk} = -1 THEN array(array_join(transform({s}, x -> x.text), ' ')) "
         f"ELSE transform(sequence(0, (size({s}) - 1) div {kk}), "
         f"j -> array_join(transform(slice({s}, j * {kk} + 1, {kk}), x -> x.text), ' ')) END")

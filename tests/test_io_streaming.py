@@ -46,7 +46,7 @@ def test_nested_span_reader(spark, scratch):
             {"id": "1", "question": "Was ist groß?", "answers": [{"text": "Berlin", "answer_start": 0}]},
             {"id": "2", "question": "Wie ist Berlin?", "answers": [{"text": "groß", "answer_start": 11}]}]},
         {"context": "Zweiter.", "qas": [{"id": "3", "question": "Q?", "answers": []}]}]}]}
-    p = os.path.join(scratch, "squad.json")
+    p = os.path.join(scratch, "nested_spans.json")
     with open(p, "w") as f:
         json.dump(doc, f)
     rows = read_nested_spans(spark, p).orderBy("ord").collect()

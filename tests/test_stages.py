@@ -14,7 +14,7 @@ def test_options_per_stage_and_unknown_stage():
     o = options_for("generate", target_count=5)
     assert isinstance(o, GenerateOptions) and o.target_count == 5
     with pytest.raises(KeyError):
-        options_for("germanish")
+        options_for("unknown_stage")
 
 
 def test_template_file_or_default(scratch):

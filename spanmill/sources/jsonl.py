@@ -40,13 +40,15 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def write_split(df: DataFrame, predicate: Column, valid_path: str, invalid_path: str) -> None:
-    """One input, two outputs (rows where the predicate is true / false). The input
-    is persisted once so it is computed a single time."""
+def write_split(df: DataFrame, predicate: Column, valid_path: str, invalid_path: str,
+                columns: list[str] | None = None) -> None:
+    """One input, two outputs (rows where the predicate is true / false), optionally
+    restricted to ``columns``. The input is persisted once so it is computed a single time."""
     kept = df.persist()
+    cols = columns or df.columns
     try:
-        write_jsonl(kept.filter(predicate), valid_path)
-        write_jsonl(kept.filter(~predicate), invalid_path)
+        write_jsonl(kept.filter(predicate).select(*cols), valid_path)
+        write_jsonl(kept.filter(~predicate).select(*cols), invalid_path)
     finally:
         kept.unpersist()
 

@@ -67,3 +67,24 @@ def test_streaming_reply_parser(spark, scratch):
     rows = spark.read.json(os.path.join(out, "rows"))
     rejects = spark.read.json(os.path.join(out, "rejects"))
     assert rows.count() == 1 and rejects.count() == 2
+
+
+def test_stage_jobs_write_and_rerun(spark, scratch):
+    """The three stage jobs at sf0.001: outputs equal the registered queries, reruns do
+    not grow outputs."""
+    import __spark_entry__ as entry
+    from spanmill.options import SubsetOptions
+    from spanmill.plans.jobs import dataset_job, generate_job, subset_job
+    from spanmill.plans.queries import QUERY_RULES
+
+    sf = "/root/testdata/sf0.001"
+    out = os.path.join(scratch, "run")
+    opts = SubsetOptions(rules=QUERY_RULES)
+    subset_job(spark, sf, out, opts)
+    subset_job(spark, sf, out, opts)
+    generate_job(spark, sf, out)
+    dataset_job(spark, sf, out)
+    assert spark.read.json(f"{out}/subset").count() == entry.queries()["subset_rows"](spark, sf).count()
+    assert spark.read.json(f"{out}/instructions").count() == entry.queries()["parse_replies"](spark, sf).count()
+    assert spark.read.json(f"{out}/dataset").count() == entry.queries()["final_dataset"](spark, sf).count()
+    assert spark.read.json(f"{out}/valid_items").count() == entry.queries()["verdict_valid"](spark, sf).count()

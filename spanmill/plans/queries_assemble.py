@@ -202,3 +202,101 @@ FROM final_rows""")
 def q_final_dataset(spark, sf_dir):
     return _dataset(spark, sf_dir).rows.select("pass", "i", _joined("contexts").alias("contexts"), "question",
                                                "answer", "positive_ctx_idx")
+
+
+# ---- chunked contexts (non-default limits: every M4/M5 path) ---------------------------
+CHUNKED = (2, 4, 2)   # max positives, max negatives, max context length in sentences
+
+
+def _grid_sql(max_pos: int, max_neg: int, max_len: int) -> str:
+    top = 0 if max_len == -1 else max_len
+    return f"""
+SELECT a.range AS n_pos, b.range AS n_neg, c.range AS pos_len, d.range AS neg_len
+FROM range(0, {max_pos + 1}) a, range(0, {max_neg + 1}) b, range(-1, {top + 1}) c, range(-1, {top + 1}) d
+WHERE a.range + b.range > 0 AND NOT (a.range > 0 AND c.range = 0) AND NOT (b.range > 0 AND d.range = 0)
+  AND NOT (a.range = 0 AND c.range <> 0) AND NOT (b.range = 0 AND d.range <> 0)
+  AND NOT (a.range > 1 AND c.range = -1) AND NOT (b.range > 3 AND d.range = -1)"""
+
+
+O.cte("grid_c", _grid_sql(*CHUNKED))
+O.cte("agrid_c", """
+SELECT row_number() OVER (ORDER BY n_pos, n_neg, pos_len, neg_len) - 1 AS p_idx, *
+FROM grid_c WHERE n_pos > 0""")
+O.cte("ugrid_c", """
+SELECT row_number() OVER (ORDER BY n_pos, n_neg, pos_len, neg_len) - 1 AS p_idx, *
+FROM grid_c WHERE n_pos = 0""")
+# chunk lists per document and chunk size (-1 = the whole context re-joined)
+O.cte("dchunks", f"""
+SELECT doc_id, k, list(chunk ORDER BY c) AS chunks FROM (
+  SELECT s.doc_id, kk.k, s.i // kk.k AS c, string_agg(s.text, ' ' ORDER BY s.i) AS chunk
+  FROM sentences s CROSS JOIN (SELECT range AS k FROM range(1, {CHUNKED[2] + 1})) kk
+  GROUP BY s.doc_id, kk.k, s.i // kk.k
+  UNION ALL
+  SELECT doc_id, -1 AS k, 0 AS c, string_agg(text, ' ' ORDER BY i) AS chunk FROM sentences GROUP BY doc_id)
+GROUP BY doc_id, k""")
+O.cte("negids", """
+SELECT a.doc_id, s.s, b.doc_id AS neg_id
+FROM nrank a CROSS JOIN (VALUES (1), (2), (3)) s(s)
+JOIN nrank b ON b.lang = a.lang AND b.r = (a.r + s.s) % a.nl""")
+O.cte("negchunks", """
+SELECT n.doc_id, d.k, flatten(list(d.chunks ORDER BY n.s)) AS chunks
+FROM negids n JOIN dchunks d ON d.doc_id = n.neg_id GROUP BY n.doc_id, d.k""")
+O.cte("cbase", """
+SELECT m.i, m.n, m.question, m.answer AS gen_answer, q.answer AS item_answer, q.ord AS item_ord,
+       [q.text] AS pos_ctxs, coalesce(g.negs, []) AS neg_ctxs
+FROM mapped m JOIN qa q ON q.ord = m.item_ord LEFT JOIN negs g ON g.doc_id = q.ord""")
+
+
+def _compiled_chunked(rows: str, prefix: str) -> str:
+    key = f"'{prefix}:' || CAST(i AS VARCHAR)"
+    pos = f"""
+CASE WHEN n_pos = 0 THEN []::VARCHAR[]
+     WHEN pos_len = -1 AND n_pos = 1 THEN list_slice(pos_ctxs, 1, 1)
+     ELSE list_concat(CASE WHEN hit > 0 THEN [pchunks[hit]] ELSE []::VARCHAR[] END,
+                      CASE WHEN n_pos > 1 THEN list_slice({_shuffle_sql('rest', key + " || '|p'")}, 1, n_pos - 1)
+                           ELSE []::VARCHAR[] END) END"""
+    neg = f"""
+CASE WHEN n_neg = 0 THEN []::VARCHAR[]
+     WHEN neg_len = -1 AND n_neg BETWEEN 1 AND 3 THEN list_slice(neg_ctxs, 1, n_neg)
+     ELSE list_slice({_shuffle_sql('coalesce(nchunks, []::VARCHAR[])', key + " || '|n'")}, 1, n_neg) END"""
+    return f"""
+SELECT *, CASE WHEN len(pos_out) > 0 THEN CAST(list_position(contexts, pos_out[1]) - 1 AS INTEGER)
+               ELSE -1 END AS positive_ctx_idx
+FROM (SELECT *, {_shuffle_sql('list_concat(pos_out, neg_out)', key + " || '|c'")} AS contexts
+      FROM (SELECT *, {pos} AS pos_out, {neg} AS neg_out
+            FROM (SELECT *, list_filter(pchunks, lambda c, j: j <> hit) AS rest
+                  FROM (SELECT r.*, pc.chunks AS pchunks, nc.chunks AS nchunks,
+                               coalesce(list_position(list_transform(pc.chunks, lambda c: contains(c, r.item_answer)),
+                                                      true), 0) AS hit
+                        FROM {rows} r
+                        LEFT JOIN dchunks pc ON pc.doc_id = r.item_ord AND pc.k = r.pos_len
+                                            AND NOT (r.pos_len = -1 AND r.n_pos = 1) AND r.n_pos > 0
+                        LEFT JOIN negchunks nc ON nc.doc_id = r.item_ord AND nc.k = r.neg_len))))"""
+
+
+O.cte("arows_c", """
+SELECT b.*, g.p_idx, g.n_pos, g.n_neg, g.pos_len, g.neg_len FROM cbase b
+JOIN agrid_c g ON g.p_idx = b.i % (SELECT count(*) FROM agrid_c)""")
+O.cte("urows_c", """
+SELECT b.i, b.n, b.item_ord, b.item_answer, d.new_question AS question, b.pos_ctxs, b.neg_ctxs,
+       g.p_idx, g.n_pos, g.n_neg, g.pos_len, g.neg_len
+FROM cbase b JOIN deranged d USING (i) JOIN ugrid_c g ON g.p_idx = b.i % (SELECT count(*) FROM ugrid_c)
+WHERE b.i < b.n // 2""")
+O.cte("acomp_c", _compiled_chunked("arows_c", "a"))
+O.cte("ucomp_c", _compiled_chunked("urows_c", "u"))
+
+
+@register("final_dataset_chunked", f"""
+SELECT 'answerable' AS pass, i, p_idx, array_to_string(contexts, {SEP_SQL}) AS contexts, question,
+       gen_answer AS answer, positive_ctx_idx FROM acomp_c
+UNION ALL
+SELECT 'unanswerable' AS pass, i, p_idx, array_to_string(contexts, {SEP_SQL}) AS contexts, question,
+       {O.q(NO_ANSWER_TEXT)} AS answer, positive_ctx_idx FROM ucomp_c""")
+def q_final_dataset_chunked(spark, sf_dir):
+    from ..options import AssembleOptions
+    t = _t(spark, sf_dir, materialize=True)
+    rows = _instructions(spark, sf_dir, materialize=True, t=t).rows
+    opts = AssembleOptions(max_positives=CHUNKED[0], max_negatives=CHUNKED[1], max_context_length=CHUNKED[2])
+    r = build_dataset(spark, rows, fx.qa_items(t), opts)
+    return r.rows.select("pass", "i", F.col("p_idx").cast("bigint"), _joined("contexts").alias("contexts"),
+                         "question", "answer", "positive_ctx_idx")

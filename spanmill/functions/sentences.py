@@ -37,13 +37,40 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def with_sentences(df: DataFrame, text_col: str, out_col: str = "sents") -> DataFrame:
-    """Add ``out_col`` = sentences of ``text_col`` (null text -> null)."""
+# Placeholder for a guarded dot: same length (one code point), never a sentence end.
+GUARD = "\uFDD0"
+DEFAULT_ABBREVIATIONS = ("Dr", "Prof", "Nr", "St", "bzw", "ca", "vgl", "usw", "etc", "Mr", "Mrs", "No")
+
+
+def guard_pattern(ordinals: bool, abbreviations) -> str | None:
+    """Dots that must not end a sentence: after a 1-3 digit number (day ordinals such as
+    "3. Mai") and after the given abbreviations; both as whole words."""
+    alts = []
+    if ordinals:
+        alts.append(r"\p{N}{1,3}")
+    if abbreviations:
+        alts.append("(?:" + "|".join(a.replace(".", "\\.") for a in abbreviations) + ")")
+    if not alts:
+        return None
+    return r"(?<![\p{L}\p{N}])(" + "|".join(alts) + r")\."
+
+
+def with_sentences(df: DataFrame, text_col: str, out_col: str = "sents", guard_ordinals: bool = False,
+                   abbreviations=()) -> DataFrame:
+    """Add ``out_col`` = sentences of ``text_col`` (null text -> null). Optional guards
+    mask dots after ordinals / abbreviations before the split and restore them after, so
+    offsets are unchanged (the default rule is the one the oracle restates)."""
     t = f"`{text_col}`"
     p, ln, bs, bo, st = (f"__{out_col}_{x}" for x in ("parts", "lens", "bsum", "boff", "starts"))
     B = BLOCK
-    out = df.withColumn(p, F.split(F.regexp_replace(F.col(text_col), SPLIT_RE, "$1$2" + MARK + "$3"),
-                                   MARK, -1))
+    src = F.col(text_col)
+    gp = guard_pattern(guard_ordinals, abbreviations)
+    if gp:
+        src = F.regexp_replace(src, gp, "$1" + GUARD)
+    parts = F.split(F.regexp_replace(src, SPLIT_RE, "$1$2" + MARK + "$3"), MARK, -1)
+    if gp:
+        parts = F.transform(parts, lambda x: F.replace(x, F.lit(GUARD), F.lit(".")))
+    out = df.withColumn(p, parts)
     out = out.withColumn(ln, F.expr(f"transform(`{p}`, x -> length(x))"))
     out = out.withColumn(bs, F.expr(
         f"transform(sequence(0, (size(`{ln}`) - 1) div {B}), "

@@ -105,3 +105,14 @@ def test_long_document_is_linear(spark):
     assert s["n"] == 50_000
     assert text[s["last"]:].startswith("Satz 49999")
     assert time.time() - t0 < 60
+
+
+def test_optional_ordinal_and_abbreviation_guard(spark):
+    from spanmill.functions.sentences import DEFAULT_ABBREVIATIONS
+    text = "Am 3. Mai kam Dr. Weber. Er blieb."
+    df = with_sentences(spark.createDataFrame([(text,)], "t string"), "t", "s", guard_ordinals=True,
+                        abbreviations=DEFAULT_ABBREVIATIONS)
+    s = df.first()["s"]
+    assert [x["text"] for x in s] == ["Am 3. Mai kam Dr. Weber.", "Er blieb."]
+    for x in s:
+        assert text[x["start"]:x["end"]] == x["text"]

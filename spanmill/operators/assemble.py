@@ -165,6 +165,7 @@ def assemble(parsed_ranked: DataFrame, items: DataFrame, spark: SparkSession,
     u = u.withColumn("answer", F.lit(opts.no_answer_text)).withColumn("pass", F.lit("unanswerable"))
     cols = ["pass", "i", "p_idx", *GRID_COLS, "contexts", "question", "answer", "positive_ctx_idx",
             "answer_missing"]
-    final = a.select(*cols).unionByName(u.select(*cols))
+    # a row whose contexts could not be compiled is dropped before writing
+    final = a.select(*cols).unionByName(u.select(*cols)).filter(F.col("contexts").isNotNull())
     return final, {"grid": grid, "answerable_grid": ans_grid, "unanswerable_grid": una_grid,
                    "answerable": a, "unanswerable": u, "deranged": deranged}

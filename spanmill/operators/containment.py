@@ -35,11 +35,6 @@ def _materialize(df: DataFrame, name: str, expr: Column) -> DataFrame:
     return df.withColumn(name, F.when(F.spark_partition_id() >= 0, expr))
 
 
-def _fits_broadcast(df: DataFrame, text_col: str) -> bool:
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(text_col)).alias("c")).first()
-    return row["n"] <= BROADCAST_MAX_ROWS and (row["c"] or 0) <= BROADCAST_MAX_CHARS
-
-
 def nested_loop(hay: DataFrame, needles: DataFrame, hay_col: str, needle_col: str,
                 extra: Column | None = None) -> DataFrame:
     """Broadcast nested loop; the needle side must have passed a size check."""
@@ -143,11 +138,9 @@ def map_to_items(parsed: DataFrame, items: DataFrame, mode: str = "auto") -> tup
     item whose positive text contains the sentence and whose question contains the
     question; the item with the largest ord wins per key. Rows without an item are
     rejects (the original stops with a key error)."""
-    keys = (parsed.select("sentence_context", "question").distinct()
-            .withColumn("__kid", F.xxhash64("sentence_context", "question"))
-            .withColumn("__kid2", F.sha2(F.concat_ws("\u0001", "sentence_context", "question"), 256)))
-    keys = keys.select(F.concat(F.col("__kid").cast("string"), F.lit(":"), F.col("__kid2")).alias("__kid"),
-                       F.col("sentence_context").alias("__sc"), F.col("question").alias("__q"))
+    keys = parsed.select("sentence_context", "question").distinct().select(
+        F.sha2(F.concat(F.sha2("sentence_context", 256), F.sha2("question", 256)), 256).alias("__kid"),
+        F.col("sentence_context").alias("__sc"), F.col("question").alias("__q"))
     hay = items.select(F.col("ord").alias("__iord"), F.get(F.col("positive_ctxs.text"), 0).alias("__text"),
                        F.col("question").alias("__iq"))
     pairs = contain_join(hay, keys, "__iord", "__text", "__kid", "__sc",

@@ -127,6 +127,9 @@ def contain_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_col: str,
         row = needles.agg(F.count(F.lit(1)).alias("n")).first()
         mode = "broadcast" if row["n"] <= NESTED_LOOP_MAX_NEEDLES else "anchor"
     if mode == "broadcast":
+        row = needles.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(needle_col)).alias("c")).first()
+        if row["n"] > BROADCAST_MAX_ROWS or (row["c"] or 0) > BROADCAST_MAX_CHARS:
+            raise ValueError("needle side too large to broadcast; use mode='anchor'")
         return nested_loop(hay, needles, hay_col, needle_col, extra)
     if mode == "anchor":
         return anchor_join(hay, needles, hay_id, hay_col, needle_id, needle_col, extra)

@@ -62,7 +62,7 @@ SELECT a.ord, a.answer_start, s.i AS sentence_i, s.text AS sentence
 FROM qa a LEFT JOIN sentences s
   ON s.doc_id = a.doc_id AND s.start <= a.answer_start AND a.answer_start < s."end" """)
 def q_sentence_at_offset(spark, sf_dir):
-    d = fx.qa_flat(_t(spark, sf_dir))
+    d = with_sentences(fx.qa_flat(_t(spark, sf_dir)), "text", "sents")
     hit = sentence_at("sents", "answer_start")
     return d.select("ord", "answer_start", hit["i"].cast("bigint").alias("sentence_i"),
                     hit["text"].alias("sentence"))
@@ -76,7 +76,7 @@ JOIN nsent n ON n.doc_id = a.doc_id
 JOIN sentences lo ON lo.doc_id = a.doc_id AND lo.i = greatest(h.i - 1, 0)
 JOIN sentences hi ON hi.doc_id = a.doc_id AND hi.i = least(h.i + 1, n.n - 1)""")
 def q_sentence_window3(spark, sf_dir):
-    d = fx.qa_flat(_t(spark, sf_dir))
+    d = with_sentences(fx.qa_flat(_t(spark, sf_dir)), "text", "sents")
     return d.select("ord", sentence_window("text", "sents", "answer_start", 1).alias("window_text")) \
         .filter(F.col("window_text").isNotNull())
 

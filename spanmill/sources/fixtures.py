@@ -68,7 +68,7 @@ def _negative_texts(t: Tables, shifts=(1, 2, 3)) -> DataFrame:
 
 
 def _qa_flat(t: Tables) -> DataFrame:
-    """One row per document: ord, doc_id, lang, source, text, sents, question, answer,
+    """One row per document: ord, doc_id, lang, source, text, question, answer,
     answer_start."""
     q = questions(t)
     n_q = scalar(q, F.count(F.lit(1)))
@@ -86,7 +86,9 @@ def _qa_flat(t: Tables) -> DataFrame:
          .withColumn("answer_start", (F.col("__pick.start") + F.instr(F.col("__pick.text"), F.col("answer"))
                                       - 1).cast("bigint"))
          .drop("__pick", "__words"))
-    return d.select(F.col("doc_id").alias("ord"), "doc_id", "lang", "source", "text", "sents",
+    # the sentence arrays stay out of the view (and its checkpoint); consumers that need
+    # them segment again, row-locally
+    return d.select(F.col("doc_id").alias("ord"), "doc_id", "lang", "source", "text",
                     "question", "answer", "answer_start")
 
 

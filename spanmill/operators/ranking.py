@@ -1,11 +1,16 @@
 """Global 0-based row numbers without a one-partition window.
 
-``row_number() over (order by k)`` puts every row into one task. Instead the rows are
-range-partitioned on the (total) order key and sorted inside each partition; each row
-gets its position inside the partition, and a tiny table of per-partition counts (one
-row per partition, so its size is bounded by the partition count) gives the offsets.
-The order key must be a total order (end it with a unique column such as ``ord``), so a
-hot value can still be split over many partitions by the range partitioner.
+``row_number() over (order by k)`` puts every row into one task. Instead the order key
+(a total order: end it with a unique column such as ``ord``) is cut into buckets by
+quantile bounds, rows are numbered inside their bucket by a window partitioned on the
+bucket, and a tiny table of bucket counts (one row per bucket, bounded by the partition
+count) gives each bucket's offset.
+
+The bucket of a row is a pure function of its key: the bounds come from a sample taken
+by key hash (not by position, which would depend on row order after a shuffle) and are
+fixed on the driver before the plan runs. So every evaluation of the plan, including a
+retry after executor loss, puts a row in the same bucket and gives it the same number.
+Because the key is total, a hot value is still split over many buckets.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_POS_BITS = 33  # monotonically_increasing_id = partition_id << 33 | position
+SAMPLES_PER_BUCKET = 32
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -22,22 +27,50 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _bounds(df: DataFrame, cols: list[Column], n: int) -> list:
+    """Up to n-1 quantile bounds of the key from a hash sample (two small driver reads:
+    the row count and about n*32 sampled keys)."""
+    total = df.count()
+    if total == 0 or n <= 1:
+        return []
+    step = max(1, total // (n * SAMPLES_PER_BUCKET))
+    sample = (df.select(F.struct(*cols).alias("k"))
+              .filter(F.pmod(F.xxhash64(*cols), F.lit(step)) == 0)
+              .orderBy("k").collect())
+    keys = [r["k"] for r in sample]
+    if not keys:
+        return []
+    bounds = []
+    for b in range(1, n):
+        k = keys[min(len(keys) - 1, b * len(keys) // n)]
+        if not bounds or k != bounds[-1]:
+            bounds.append(k)
+    return bounds
+
+
 def with_row_number(df: DataFrame, order: list, name: str = "rn",
                     num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 0-based position of the row in ``order`` (a list of Columns or names)."""
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     n = _partitions(df, num_partitions)
-    tagged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumn("__rn_pid", F.spark_partition_id())
-              .withColumn("__rn_pos", F.monotonically_increasing_id()
-                          .bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
-    counts = tagged.groupBy("__rn_pid").agg(F.count(F.lit(1)).alias("__rn_cnt"))
-    before = Window.orderBy("__rn_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__rn_pid", F.coalesce(F.sum("__rn_cnt").over(before), F.lit(0))
-                            .alias("__rn_off"))
-    return (tagged.join(F.broadcast(offsets), "__rn_pid")
+    bounds = _bounds(df, cols, n)
+    key = F.struct(*cols)
+    if bounds:
+        fields = df.select(key.alias("k")).schema["k"].dataType.fields
+        lits = F.array(*[F.struct(*[F.lit(b[f.name]).cast(f.dataType).alias(f.name) for f in fields])
+                         for b in bounds])
+        bucket = F.size(F.filter(lits, lambda b: b <= key))
+    else:
+        bucket = F.lit(0)
+    tagged = df.withColumn("__rn_b", bucket.cast("int"))
+    counts = tagged.groupBy("__rn_b").agg(F.count(F.lit(1)).alias("__rn_cnt"))
+    before = Window.orderBy("__rn_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__rn_b", F.coalesce(F.sum("__rn_cnt").over(before), F.lit(0)).alias("__rn_off"))
+    inside = Window.partitionBy("__rn_b").orderBy(*cols)
+    return (tagged.withColumn("__rn_pos", F.row_number().over(inside) - 1)
+            .join(F.broadcast(offsets), "__rn_b")
             .withColumn(name, (F.col("__rn_off") + F.col("__rn_pos")).cast("bigint"))
-            .drop("__rn_pid", "__rn_pos", "__rn_off"))
+            .drop("__rn_b", "__rn_pos", "__rn_off"))
 
 
 def with_group_row_number(df: DataFrame, group: list, order: list, name: str = "rn",

@@ -11,9 +11,16 @@ from __future__ import annotations
 import os
 import struct
 import unicodedata
+import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import ship
 
 #: Chunks kept per Python worker (about 150 MB); beyond it a group's new chunks are forgotten.
 CACHE_CHUNKS = 700_000
@@ -143,3 +150,35 @@ class ChunkEncoder:
 def chunk_encoder(path: str, drops_space: bool) -> ChunkEncoder:
     """One per Python worker, so that later tasks find the chunks of earlier ones."""
     return ChunkEncoder(path, drops_space)
+
+
+def packed_ids(ids: bytes, end: int, width: int) -> bytes:
+    """Little-endian 32-bit ids with the end id behind them, in width bytes each."""
+    data = np.frombuffer(ids + struct.pack("<I", end), "<u4")
+    return ids + struct.pack("<I", end) if width == 4 else data.astype("<u2").tobytes()
+
+
+def with_ids(docs: DataFrame, path: str, drops_space: bool, end: int, width: int,
+             text: str = "text", out: str = "ids") -> DataFrame:
+    """Add a binary column: the ids of each whole text (null: empty) and the end id."""
+    ship(docs.sparkSession)
+
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = chunk_encoder(path, drops_space)
+        for texts in batches:
+            ids = encoder.encode([t or "" for t in texts.to_pylist()])
+            yield pa.array([packed_ids(x, end, width) for x in ids], pa.binary())
+
+    # the hints are read at run time
+    encode.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return docs.withColumn(out, F.arrow_udf(encode, "binary")(F.col(text)))
+
+
+def crc32_wide(ids: str) -> Column:
+    """Unsigned crc32 of 16-bit ids widened to little-endian unsigned 32-bit integers."""
+    def crc(batch: pa.Array) -> pa.Array:
+        return pa.array([zlib.crc32(np.frombuffer(x.as_py(), "<u2").astype("<u4").tobytes())
+                         for x in batch], pa.int64())
+
+    crc.__annotations__ = {"batch": pa.Array, "return": pa.Array}
+    return F.arrow_udf(crc, "long")(F.col(ids))

@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+import public_tokenizers
 
-from . import simhash_dedup
+from . import (bin_completion, byte_bpe, chat_masks, quality_rules, simhash_dedup, token_store,
+               toxicity_cnn, weak_pii)
 from .common import table
+from .encoders import crc32_wide
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,3 +30,60 @@ def hex64(name: str):
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", hex64("fingerprint").alias("fingerprint"), "component_id")
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op7_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity_cnn.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumn("predicted", (F.col("score") >= toxicity_cnn.CUTOFF).cast("int"))
+
+
+@query
+def op1_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = weak_pii.find(table(spark, sf_dir, "documents"))
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+
+    base = [count(k).alias(f"n_{k}") for k in weak_pii.BASE]
+    return found.select("doc_id", *base,
+                        F.sha2(weak_pii.digest(F.col("spans"), True), 256).alias("base_sha256"),
+                        weak_pii.digest(F.col("spans")).alias("spans"))
+
+
+@query
+def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.store(table(spark, sf_dir, "documents"),
+                             public_tokenizers.path("word_bpe_49k.json"), True)
+
+
+def pieces_with_crc(pieces: DataFrame) -> DataFrame:
+    return pieces.select("doc_id", "piece", "start", "length",
+                         crc32_wide("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query
+def op10_bin_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces_with_crc(bin_completion.pack_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    where = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    return byte_bpe.digests(byte_bpe.encoded(table(spark, sf_dir, "documents"), *where), *where)
+
+
+@query
+def op2_chat_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = "<|im_end|><|im_start|>assistant ok"
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", both), (-1, 1, "assistant", both)], rows.schema)
+    return chat_masks.digests(chat_masks.format_chats(rows.unionByName(extra), path), path)

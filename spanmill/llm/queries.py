@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from . import (bin_completion, byte_bpe, chat_masks, quality_rules, simhash_dedup, token_store,
-               toxicity_cnn, weak_pii)
+               toxicity_cnn, url_cascade, weak_pii, weighted_fingerprints)
 from .common import table
 from .encoders import crc32_wide
 
@@ -87,3 +87,44 @@ def op2_chat_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame([(-1, 0, "user", both), (-1, 1, "assistant", both)], rows.schema)
     return chat_masks.digests(chat_masks.format_chats(rows.unionByName(extra), path), path)
+
+
+#: The fixed rules of op5: host and path prefix, verdict.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"),
+             ("org/fr/", "allow")]
+#: Name parts of hosts whose pages are on the blocking list of op5.
+LISTED_HOSTS = "casino|bets|pills|adult|spam|ads-track"
+
+
+@query
+def op5_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    host, path = url_cascade.host_and_path(F.col("url"))
+    listed = pages.where(host.rlike(LISTED_HOSTS)).select(F.concat(host, path).alias("key"))
+    return url_cascade.judge(pages, URL_RULES, listed)
+
+
+ORACLE["op5_url_cascade"] = f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0
+    THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+host AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM cut),
+split AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM host),
+rules(rule, domain, below, says) AS (VALUES ('net/', 'net', '/', 'block'),
+  ('example.net/en/', 'example.net', '/en/', 'allow'),
+  ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+fits AS (
+  SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(says, length(rule)) AS says
+  FROM split JOIN rules ON (host = domain OR ends_with(host, '.' || domain))
+    AND starts_with(path, below) GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(says, CASE WHEN regexp_matches(host, '{LISTED_HOSTS}')
+  THEN 'block' ELSE 'allow' END) AS verdict
+FROM split LEFT JOIN fits USING (page_id)
+"""
+
+
+@query
+def op6_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_fingerprints.fingerprints(table(spark, sf_dir, "documents"))

@@ -28,8 +28,9 @@ CACHE_CHUNKS = 700_000
 GROUP_CHARS = 4_000_000
 #: A run of these behind a word is a piece of its own in either pattern.
 MARKS = ".,!?;:*#$%&|)"
-#: Letters below this are Latin; their lower case does not depend on their neighbours.
-LATIN_END = "\u0250"
+#: Letters below this are Latin; their lower case is one letter, whatever stands beside it,
+#: but for the second one here.
+LATIN_END, DOTTED = "\u0250", "\u0130"
 
 
 def byte_letters() -> dict[int, str]:
@@ -50,6 +51,10 @@ def tokenizer(path: str):
     return t
 
 
+def _latin(word: str) -> bool:
+    return word.isalpha() and max(word) < LATIN_END and DOTTED not in word
+
+
 class ChunkEncoder:
     """encode(texts) gives each text's ids as little-endian unsigned 32-bit bytes."""
 
@@ -76,9 +81,9 @@ class ChunkEncoder:
     def _split(self, known: dict, c: str, lead: str) -> bytes | None:
         """Ids of a chunk that is a word, a word and marks, or lines of such; else None."""
         if c.isalpha():
-            return self._word(c, lead) if max(c) < LATIN_END else None
+            return self._word(c, lead) if _latin(c) else None
         core = c.rstrip(MARKS)
-        if core.isalpha() and max(core) < LATIN_END:
+        if core and _latin(core):
             if (ids := known.get(core)) is None:
                 ids = known[core] = self._word(core, lead)
             if (tail := self.marks.get(c[len(core):])) is None:

@@ -129,13 +129,13 @@ def certified_cutoffs(labelled: DataFrame, risk: float = RISK, error: float = ER
     summed = full.select(
         "stratum", "rule", "j", F.sum("good").over(whole).alias("n"),
         F.sum("good").over(above).alias("lost"), F.sum("bad").over(above).alias("found"))
-    strata = summed.agg(F.countDistinct("stratum").alias("strata"))
-    tests = F.col("strata") * len(RULES) * len(CUTOFFS)
+    strata = counts.agg(F.countDistinct("stratum")).scalar()
+    tests = strata * len(RULES) * len(CUTOFFS)
     sure = (F.col("lost") < F.col("n") * risk) & (
         binomial_tail(F.col("lost"), F.col("n"), risk) <= error / tests)
     gain = F.col("found") - WORTH * F.col("lost")
     best = F.max(F.struct(gain.alias("gain"), "j", "n", "lost", "found"))
-    return (summed.where("j > 0").crossJoin(F.broadcast(strata))  # one row
+    return (summed.where("j > 0")
             .where(F.when(F.col("lost") < F.col("n") * risk, sure).otherwise(F.lit(False)))
             .groupBy("stratum", "rule").agg(best.alias("b")).where("b.gain > 0")
             .select("stratum", "rule", F.get(grid, F.col("b.j") - 1).alias("cutoff"),

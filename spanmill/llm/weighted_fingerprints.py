@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import solid
+from .common import solid, written
 
 #: Samples of a fingerprint; hexadecimal digits of a sample in it.
 SAMPLES, DIGITS = 64, 4
@@ -56,15 +56,6 @@ def terms(text: Column) -> Column:
         F.lit(~255)).bitwiseOR(F.least(F.length(w), F.lit(255)).cast("long"))))
 
 
-def _weighted(name: str) -> Column:
-    """The runs of a sorted array column: array of term and logarithm of its weight."""
-    runs = F.filter(
-        F.transform(name, lambda x, i: F.when(F.coalesce(x != F.get(name, i - 1), F.lit(True)),
-                                              F.struct(x.alias("x"), i.alias("i")))),
-        lambda r: r.isNotNull())
-    return F.transform(runs, lambda r: r)
-
-
 def _samples(term: Column, weight: Column) -> list[Column]:
     """For each hash function a number whose minimum over the terms is the sample: ln a in the
     high bits, a hash of term and t in the low 23."""
@@ -167,9 +158,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     part = [F.lower(F.lpad(F.hex(F.xxhash64(f"m{k}").bitwiseAND(F.lit(16 ** DIGITS - 1))), DIGITS, "0"))
             for k in range(SAMPLES)]
     prints = signed.select(*keys, F.concat(*part).alias("print"))
-    pairs = prints.groupBy(*keys[:-1]).agg(
+    pairs = written(prints.groupBy(*keys[:-1]).agg(  # read three times below
         F.max(F.when(F.col("which") == 0, F.col("print"))).alias("fingerprint"),
-        F.max(F.when(F.col("which") == 1, F.col("print"))).alias("edited_fingerprint"))
+        F.max(F.when(F.col("which") == 1, F.col("print"))).alias("edited_fingerprint")))
     out = _with_next(pairs, ["pos"], "fingerprint", "next_fingerprint")
     return out.select(
         "doc_id", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), "fingerprint",

@@ -15,8 +15,7 @@ text, the terms, the samples and the comparison with the next document all stay
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import solid, written
@@ -30,16 +29,16 @@ RANGE_ROWS = 2000
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 
 
-def gamma_quantiles(n: int = QUANTILES) -> np.ndarray:
-    """The middles of n equally likely slices of the gamma(2, 1) distribution.
+def gamma_table(spark: SparkSession) -> DataFrame:
+    """One row: r, the middles of QUANTILES equally likely slices of the gamma(2, 1)
+    distribution, and ln_r, their logarithms.
 
     Its distribution function is 1 - (1 + x) exp(-x); Newton's steps on its logarithm."""
-    u = (np.arange(n) + 0.5) / n
-    x = np.full(n, 1.0)
-    for _ in range(200):
-        tail = (1 + x) * np.exp(-x)
-        x = np.maximum(x + (np.log(tail) - np.log1p(-u)) * (1 + x) / x, 1e-9)
-    return x
+    step = "greatest(x + (ln((1 + x) * exp(-x)) - ln(1 - u)) * (1 + x) / x, 1e-9D)"
+    r = spark.range(1).select(F.expr(
+        f"transform(transform(sequence(0, {QUANTILES} - 1), i -> (i + 0.5D) / {QUANTILES}), "
+        f"u -> aggregate(sequence(1, 60), 1.0D, (x, k) -> {step}))").alias("r"))
+    return r.select("r", F.transform("r", lambda x: F.log(x)).alias("ln_r"))
 
 
 def edited(text: Column, n: Column, following: Column) -> Column:
@@ -56,11 +55,11 @@ def terms(text: Column) -> Column:
         F.lit(~255)).bitwiseOR(F.least(F.length(w), F.lit(255)).cast("long"))))
 
 
-def _samples(term: Column, weight: Column) -> list[Column]:
+def _samples(spark: SparkSession, term: Column, weight: Column) -> list[Column]:
     """For each hash function a number whose minimum over the terms is the sample: ln a in the
     high bits, a hash of term and t in the low 23."""
-    table = gamma_quantiles()
-    gammas, logs = F.lit(table), F.lit(np.log(table))
+    table = gamma_table(spark)
+    gammas, logs = table.select("r").scalar(), table.select("ln_r").scalar()
     out = []
     for k in range(SAMPLES):
         h = F.xxhash64(term, F.lit(k))
@@ -153,7 +152,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                        .alias("times"))
     size = F.col("term").bitwiseAND(F.lit(255))
     weighed = each.select(*keys, "term", F.log(F.greatest(F.col("times") * size, F.lit(1))).alias("w"))
-    mins = [F.min(s).alias(f"m{k}") for k, s in enumerate(_samples(F.col("term"), F.col("w")))]
+    mins = [F.min(s).alias(f"m{k}") for k, s in enumerate(_samples(docs.sparkSession, F.col("term"), F.col("w")))]
     signed = weighed.groupBy(*keys).agg(*mins)
     part = [F.lower(F.lpad(F.hex(F.xxhash64(f"m{k}").bitwiseAND(F.lit(16 ** DIGITS - 1))), DIGITS, "0"))
             for k in range(SAMPLES)]

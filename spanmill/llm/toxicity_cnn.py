@@ -45,14 +45,15 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def _blocks(text: str):
-    """Lists of a text's lower-cased words, each with the two words before it in front."""
+    """Lists of a text's lower-cased words, each with the two words before it in front, how
+    many these are, and whether the list is the last."""
     pos, tail = 0, []
     while pos < len(text):
         end = min(pos + BLOCK, len(text))
         while end < len(text) and text[end].isalpha():
             end += 1
         words = tail + _WORD.findall(text[pos:end].lower())
-        yield words, len(tail)
+        yield words, len(tail), end == len(text)
         tail, pos = words[-2:], end
 
 
@@ -103,7 +104,7 @@ class Model:
         def score(text: str | None) -> float:
             top = np.full((len(WIDTHS), FILTERS), -np.inf, np.float32)
             seen = np.zeros(len(function), np.int64)
-            for words, repeated in _blocks(text or ""):
+            for words, repeated, last in _blocks(text or ""):
                 if not words:
                     continue
                 if len(known) > KNOWN_WORDS:
@@ -115,9 +116,12 @@ class Model:
                                                           np.float32)])
                 at = 0
                 for i, width in enumerate(WIDTHS):
-                    z = sum(x[k:k + len(words), (at + k) * FILTERS:(at + k + 1) * FILTERS]
-                            for k in range(width))
-                    top[i] = np.maximum(top[i], z.max(0))
+                    # windows that run over a list's end begin the next list too
+                    n = len(words) if last else len(words) - width + 1
+                    if n > 0:
+                        z = sum(x[k:k + n, (at + k) * FILTERS:(at + k + 1) * FILTERS]
+                                for k in range(width))
+                        top[i] = np.maximum(top[i], z.max(0))
                     at += width
                 mine = ids[repeated:]
                 seen += np.bincount(mine[mine < len(function)], minlength=len(function))

@@ -11,25 +11,37 @@ from .ranking import scalar, with_row_number
 
 def distinct_overlap(a: DataFrame, b: DataFrame, col_a: Column, col_b: Column) -> DataFrame:
     """Distinct values of each side and of their intersection, with one shuffle:
-    both sides are tagged, unioned and grouped by value (map-side combine first)."""
-    tagged = (a.select(col_a.alias("v"), F.lit(True).alias("in_a"), F.lit(False).alias("in_b"))
-              .unionByName(b.select(col_b.alias("v"), F.lit(False).alias("in_a"), F.lit(True).alias("in_b"))))
+    both sides are tagged, unioned and grouped by the value's digest (map-side combine first)."""
+    tagged = (a.select(digest(col_a).alias("v"), F.lit(True).alias("in_a"), F.lit(False).alias("in_b"))
+              .unionByName(b.select(digest(col_b).alias("v"), F.lit(False).alias("in_a"),
+                                    F.lit(True).alias("in_b"))))
     per_value = tagged.filter(F.col("v").isNotNull()).groupBy("v").agg(
         F.max("in_a").alias("in_a"), F.max("in_b").alias("in_b"))
     return per_value.agg(F.count_if("in_a").alias("n_a"), F.count_if("in_b").alias("n_b"),
                          F.count_if(F.col("in_a") & F.col("in_b")).alias("n_both"))
 
 
-def distinct_counts(df: DataFrame, columns: dict[str, Column], approx: bool = False) -> DataFrame:
-    """A2: distinct values per column in one pass; ``approx`` uses HyperLogLog++
-    (bounded memory per column, for inputs where exact distinct sets are too large)."""
-    agg = (lambda c: F.approx_count_distinct(c, 0.01)) if approx else F.count_distinct
-    return df.agg(*[agg(c).cast("bigint").alias(name) for name, c in columns.items()])
+def digest(value: Column) -> Column:
+    """Fixed-size stand-in for a long text in groupings and joins."""
+    return F.sha2(value, 256)
 
 
-def duplicated_values(df: DataFrame, value: Column, ord_col: str = "ord") -> DataFrame:
-    """A3: values seen more than once, with their count and first-seen ord."""
-    return (df.groupBy(value.alias("value"))
+def distinct_counts(df: DataFrame, columns: dict[str, Column], approx: bool = False) -> DataFrame:
+    """A2: distinct values per column in one pass over (column, digest) pairs; ``approx``
+    uses HyperLogLog++ (bounded memory per column)."""
+    if approx:
+        return df.agg(*[F.approx_count_distinct(c, 0.01).cast("bigint").alias(name)
+                        for name, c in columns.items()])
+    names = list(columns)
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), digest(columns[n]).alias("v"))
+                               for i, n in enumerate(names)]))
+    seen = df.select(each.alias("x")).select("x.*").where(F.col("v").isNotNull()).distinct()
+    return seen.agg(*[F.count_if(F.col("c") == i).alias(n) for i, n in enumerate(names)])
+
+
+def duplicated_values(df: DataFrame, value: Column, ord_col: str = "ord", by: list[str] = ()) -> DataFrame:
+    """A3: values seen more than once (within ``by``), with their count and first-seen ord."""
+    return (df.groupBy(*by, value.alias("value"))
             .agg(F.count(F.lit(1)).alias("n"), F.min(ord_col).alias("first_ord"))
             .filter(F.col("n") > 1))
 
@@ -66,7 +78,9 @@ def length_extremes(df: DataFrame, length: Column, value: Column, question: Colu
 
 def sorted_positions(df: DataFrame, length: Column, ord_col: str = "ord", name: str = "pos") -> DataFrame:
     """O1: stable sort by length (ties by ord) as a 0-based position column."""
-    return with_row_number(df.withColumn("__len", length), ["__len", ord_col], name).drop("__len")
+    keyed = df.withColumn("__len", F.coalesce(length, F.lit(-1)))
+    return with_row_number(keyed, ["__len", ord_col], name, top=F.col("__len"),
+                           bucket=F.shiftright(F.col(ord_col).cast("bigint"), 16)).drop("__len")
 
 
 def upper_median(df: DataFrame, length: Column, ord_col: str = "ord") -> DataFrame:

@@ -1,16 +1,13 @@
-"""Global 0-based row numbers without a one-partition window.
-
-``row_number() over (order by k)`` puts every row into one task. Instead the order key
-(a total order: end it with a unique column such as ``ord``) is cut into buckets by
-quantile bounds, rows are numbered inside their bucket by a window partitioned on the
-bucket, and a tiny table of bucket counts (one row per bucket, bounded by the partition
-count) gives each bucket's offset.
-
-The bucket of a row is a pure function of its key: the bounds come from a sample taken
-by key hash (not by position, which would depend on row order after a shuffle) and are
-fixed on the driver before the plan runs. So every evaluation of the plan, including a
-retry after executor loss, puts a row in the same bucket and gives it the same number.
-Because the key is total, a hot value is still split over many buckets.
+"""Global 0-based row numbers without a one-partition window over the rows.
+
+``row_number() over (order by k)`` puts every row into one task. Here a row's bucket is
+arithmetic on its order key: 2**16 consecutive values of an integer key, or the first four
+digits of a hash. Rows are numbered inside their bucket, and bucket counts, summed in two
+levels, give each bucket's offset. Nothing is sampled or collected and no job runs while the
+plan is built; a retry after executor loss puts every row in the same bucket again.
+
+An integer key is taken to be roughly dense (a position or id), so that a bucket has about
+2**16 rows and the upper level one row per 2**28 keys. A sparse key still gives right numbers.
 """
 
 from __future__ import annotations
@@ -18,77 +15,76 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES_PER_BUCKET = 32
-
-
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _bounds(df: DataFrame, cols: list[Column], n: int) -> list:
-    """Up to n-1 quantile bounds of the key from a hash sample (two small driver reads:
-    the row count and about n*32 sampled keys)."""
-    total = df.count()
-    if total == 0 or n <= 1:
-        return []
-    step = max(1, total // (n * SAMPLES_PER_BUCKET))
-    sample = (df.select(F.struct(*cols).alias("k"))
-              .filter(F.pmod(F.xxhash64(*cols), F.lit(step)) == 0)
-              .orderBy("k").collect())
-    keys = [r["k"] for r in sample]
-    if not keys:
-        return []
-    bounds = []
-    for b in range(1, n):
-        k = keys[min(len(keys) - 1, b * len(keys) // n)]
-        if not bounds or k != bounds[-1]:
-            bounds.append(k)
-    return bounds
-
-
-def with_row_number(df: DataFrame, order: list, name: str = "rn",
-                    num_partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = 0-based position of the row in ``order`` (a list of Columns or names)."""
-    cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    n = _partitions(df, num_partitions)
-    bounds = _bounds(df, cols, n)
-    key = F.struct(*cols)
-    if bounds:
-        fields = df.select(key.alias("k")).schema["k"].dataType.fields
-        lits = F.array(*[F.struct(*[F.lit(b[f.name]).cast(f.dataType).alias(f.name) for f in fields])
-                         for b in bounds])
-        bucket = F.size(F.filter(lits, lambda b: b <= key))
-    else:
-        bucket = F.lit(0)
-    tagged = df.withColumn("__rn_b", bucket.cast("int"))
-    counts = tagged.groupBy("__rn_b").agg(F.count(F.lit(1)).alias("__rn_cnt"))
-    before = Window.orderBy("__rn_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__rn_b", F.coalesce(F.sum("__rn_cnt").over(before), F.lit(0)).alias("__rn_off"))
-    inside = Window.partitionBy("__rn_b").orderBy(*cols)
-    return (tagged.withColumn("__rn_pos", F.row_number().over(inside) - 1)
-            .join(F.broadcast(offsets), "__rn_b")
+ROWS_BITS, GROUP_BITS = 16, 28
+HASH_DIGITS = 4
+
+
+def _buckets(df: DataFrame, first: Column) -> tuple[Column, Column]:
+    """(upper level, bucket) of the leading order key."""
+    kind = df.select(first.alias("k")).schema["k"].dataType.typeName()
+    if kind == "string":  # a hexadecimal hash; nulls come first in either case
+        return F.coalesce(F.substring(first, 1, HASH_DIGITS), F.lit("")), F.lit(0)
+    key = F.coalesce(first.cast("bigint"), F.lit(-(1 << 63)))
+    return F.shiftright(key, GROUP_BITS), F.shiftright(key, ROWS_BITS)
+
+
+def _numbered(df: DataFrame, group: list[str], top: Column, bucket: Column, order: list[Column],
+              name: str) -> DataFrame:
+    """0-based position within the group columns, through (top, bucket)."""
+    tagged = df.withColumns({"__rn_t": top, "__rn_b": bucket})
+    counts = tagged.groupBy(*group, "__rn_t", "__rn_b").agg(F.count(F.lit(1)).alias("__rn_n"))
+    lower = Window.partitionBy(*group, "__rn_t").orderBy("__rn_b").rowsBetween(
+        Window.unboundedPreceding, -1)
+    upper = (Window.partitionBy(*(group or [F.lit(0)])).orderBy("__rn_t")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    tops = (counts.groupBy(*group, "__rn_t").agg(F.sum("__rn_n").alias("__rn_n"))
+            .select(*group, "__rn_t", F.coalesce(F.sum("__rn_n").over(upper), F.lit(0)).alias("__rn_u")))
+    offsets = counts.withColumn("__rn_l", F.coalesce(F.sum("__rn_n").over(lower), F.lit(0)))
+    offsets = _join(offsets.drop("__rn_n"), tops, group, ["__rn_t"]).select(
+        *group, "__rn_t", "__rn_b", (F.col("__rn_l") + F.col("__rn_u")).alias("__rn_off"))
+    inside = Window.partitionBy(*group, "__rn_t", "__rn_b").orderBy(*order)
+    placed = tagged.withColumn("__rn_pos", F.row_number().over(inside) - 1)
+    return (_join(placed, offsets, group, ["__rn_t", "__rn_b"])
             .withColumn(name, (F.col("__rn_off") + F.col("__rn_pos")).cast("bigint"))
-            .drop("__rn_b", "__rn_pos", "__rn_off"))
+            .drop("__rn_t", "__rn_b", "__rn_pos", "__rn_off"))
+
+
+def _join(left: DataFrame, right: DataFrame, group: list[str], keys: list[str]) -> DataFrame:
+    """Inner equi-join; null groups meet each other, the other keys are never null."""
+    names = [*group, *keys]
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in names})
+    on = F.lit(True)
+    for k in names:
+        mine, other = F.col(k), F.col(f"__r_{k}")
+        on = on & (mine.eqNullSafe(other) if k in group else mine == other)
+    return left.join(renamed, on).drop(*[f"__r_{k}" for k in names])
+
+
+def with_row_number(df: DataFrame, order: list, name: str = "rn", top: Column | None = None,
+                    bucket: Column | None = None) -> DataFrame:
+    """Add ``name`` = 0-based position of the row in ``order`` (Columns or names; the last
+    one unique). The leading key is an integer or a hexadecimal hash; for others, or a key
+    with few values, give ``top`` and ``bucket``: (top, bucket) must follow the order."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    if top is None:
+        top, inferred = _buckets(df, cols[0])
+        bucket = inferred if bucket is None else bucket
+    return _numbered(df, [], top, F.lit(0) if bucket is None else bucket, cols, name)
 
 
 def with_group_row_number(df: DataFrame, group: list, order: list, name: str = "rn",
-                          size_name: str | None = None,
-                          num_partitions: int | None = None) -> DataFrame:
-    """0-based position inside each group (and optionally the group size), computed from
-    the global numbering so a hot group is still spread over many tasks."""
-    gcols = [F.col(c) if isinstance(c, str) else c for c in group]
-    ranked = with_row_number(df, gcols + list(order), "__grn_all", num_partitions)
-    names = [c if isinstance(c, str) else None for c in group]
-    if any(x is None for x in names):
+                          size_name: str | None = None) -> DataFrame:
+    """0-based position inside each group (columns by name) and optionally the group's size.
+    A hot group is spread over the buckets of its order key."""
+    if any(not isinstance(c, str) for c in group):
         raise ValueError("group columns must be given by name")
-    stats = ranked.groupBy(*names).agg(F.min("__grn_all").alias("__grn_first"),
-                                       F.count(F.lit(1)).alias("__grn_size"))
-    out = ranked.join(stats, names).withColumn(name, F.col("__grn_all") - F.col("__grn_first"))
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    top, bucket = _buckets(df, cols[0])
+    out = _numbered(df, list(group), top, bucket, cols, name)
     if size_name:
-        out = out.withColumn(size_name, F.col("__grn_size"))
-    return out.drop("__grn_all", "__grn_first", "__grn_size")
+        sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias(size_name))
+        out = _join(out, sizes, list(group), [])
+    return out
 
 
 def scalar(df: DataFrame, expr: Column) -> Column:

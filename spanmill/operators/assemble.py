@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.sentences import MARK, SPLIT_RE
+from ..functions.sentences import BOUNDARY_RE
 from ..functions.text import RSTRIP_RE
 from ..options import FULL_NEGATIVES_AVAILABLE, AssembleOptions
 from .ranking import with_row_number
@@ -62,10 +62,10 @@ def _materialize(df: DataFrame, name: str, expr: Column) -> DataFrame:
 
 def _sentence_texts_sql(arr: str) -> str:
     """Sentences of every context of an array (texts only, right-trimmed)."""
-    split_re = SPLIT_RE.replace("\\", "\\\\")
+    end_re = BOUNDARY_RE.replace("\\", "\\\\")
     rstrip_re = RSTRIP_RE.replace("\\", "\\\\")
-    return (f"transform({arr}, c -> transform(split(regexp_replace(c, '{split_re}', '$1$2{MARK}$3'), "
-            f"'{MARK}', -1), p -> regexp_replace(p, '{rstrip_re}', '')))")
+    return (f"transform({arr}, c -> zip_with(split(c, '{end_re}', -1), regexp_extract_all(c, '{end_re}', 0), "
+            f"(p, e) -> regexp_replace(concat(p, coalesce(e, '')), '{rstrip_re}', '')))")
 
 
 def _chunks_sql(sents2d: str, k: str) -> str:
@@ -88,7 +88,7 @@ def compile_contexts(rows: DataFrame, seed: str) -> DataFrame:
 
     Positives: n=1 and full -> the first positive; otherwise chunks of the positives,
     the first chunk containing the answer first, then (n > 1) n-1 others in seeded order.
-    Negatives: full and n <= 3 -> the first n negatives; otherwise chunks of all
+    Negatives: full and n = 3 -> all negatives, full and n < 3 -> the first n; otherwise chunks of all
     negatives in seeded order, the first n. Short supply gives fewer contexts (D10); an
     answer found in no chunk sets ``answer_missing`` (D9)."""
     d = rows
@@ -111,6 +111,8 @@ def compile_contexts(rows: DataFrame, seed: str) -> DataFrame:
     d = d.withColumn("answer_missing", pos_chunked & (F.col("__phit") == 0))
     neg_chunks = F.expr(_chunks_sql(_sentence_texts_sql("coalesce(neg_ctxs, array())"), "neg_len"))
     d = d.withColumn("neg_out", F.when(F.col("n_neg") == 0, empty)
+                     .when(neg_full & (F.col("n_neg") == FULL_NEGATIVES_AVAILABLE),
+                           F.coalesce("neg_ctxs", empty))
                      .when(neg_full, F.slice(F.coalesce("neg_ctxs", empty), 1, F.col("n_neg")))
                      .otherwise(F.slice(seeded_shuffle(neg_chunks, F.concat(F.col("key"), F.lit("|n")), seed),
                                         1, F.col("n_neg"))))
@@ -134,16 +136,21 @@ def derange_questions(rows: DataFrame, seed: str) -> DataFrame:
     if n < 2 * m:
         raise ValueError(f"no derangement: {m} of {n} rows share one question")
     h = F.md5(F.concat(F.lit(seed + "|"), F.col("question")))
-    ranked = with_row_number(rows.withColumn("__h", h), ["__h", "i"], "__p").drop("__h")
+    # rows of one hot question follow each other, so the hash alone would be one bucket
+    part = F.struct(F.col("__h"), F.shiftright(F.col("i").cast("bigint"), 16))
+    ranked = with_row_number(rows.withColumn("__h", h), ["__h", "i"], "__p", bucket=part).drop("__h")
     partner = ranked.select(F.pmod(F.col("__p") - m, F.lit(n)).alias("__p"), F.col("question").alias("new_question"))
     return ranked.join(partner, "__p").drop("__p")
 
 
 def assemble(parsed_ranked: DataFrame, items: DataFrame, spark: SparkSession,
-             opts: AssembleOptions = AssembleOptions()) -> tuple[DataFrame, dict]:
+             opts: AssembleOptions = AssembleOptions(),
+             all_rows: DataFrame | None = None) -> tuple[DataFrame, dict]:
     """M1-M10. ``parsed_ranked``: (i, question, answer, item_ord) for mapped rows, where
     ``i`` is the position among all parsed instructions (n = their count, via column
-    ``n``). ``items``: retrieval items by ord. Returns the final rows and the pieces."""
+    ``n``). ``items``: retrieval items by ord. ``all_rows``: (i, question) of all parsed
+    instructions; questions are permuted among these before unmapped rows drop out.
+    Returns the final rows and the pieces."""
     grid = param_grid(spark, opts.max_positives, opts.max_negatives, opts.max_context_length)
     ans_grid, una_grid = split_grid(grid)
     base = parsed_ranked.join(
@@ -157,7 +164,8 @@ def assemble(parsed_ranked: DataFrame, items: DataFrame, spark: SparkSession,
                          .withColumnRenamed("answer_span", "answer"), opts.seed)
     a = a.withColumn("answer", F.col("gen_answer")).withColumn("pass", F.lit("answerable"))
     # M8 + M9 unanswerable pass: the first n div 2 rows, deranged questions
-    deranged = derange_questions(parsed_ranked.select("i", "question"), opts.seed)
+    every = parsed_ranked if all_rows is None else all_rows
+    deranged = derange_questions(every.select("i", "question"), opts.seed)
     u = round_robin(base.drop("question"), una_grid, F.floor(F.col("n") / 2)) \
         .join(deranged.select("i", F.col("new_question").alias("question")), "i") \
         .withColumn("key", F.concat(F.lit("u:"), F.col("i").cast("string")))

@@ -1,32 +1,35 @@
 """Substring-containment join without all pairs.
 
-Catalyst can only plan ``contains`` joins as nested loops. Two exact strategies:
-
-* small needle side (size checked): broadcast the needles, nested loop per text.
-* anchor join: if needle ⊂ text, every *interior* token of the needle (not the first or
-  the last part, which may be cut) is a whole token of the text, and consecutive
-  interior tokens are consecutive text tokens. So each needle picks one interior run of
-  up to 3 tokens (the longest in characters, a proxy for the rarest), the texts emit a
-  hash for every distinct run of 1 and 3 tokens, the two are equi-joined on (k, hash),
-  and ``contains`` verifies the candidates. Hash collisions only add candidates; they
-  never lose a pair. Needles without an interior token use the size-checked nested
-  loop. The join carries ids only; texts are re-attached for the verify step.
+Catalyst can only plan ``contains`` joins as nested loops. The **anchor join** is exact and its
+work follows the input: if needle ⊂ text, every *interior* token of the needle (not the first or
+the last part, which may be cut) is a whole token of the text, and consecutive interior tokens
+are consecutive text tokens. So each needle picks one interior run of up to 3 tokens (the longest
+in characters, a proxy for the rarest), the texts emit a hash for every distinct run of 1 and 3
+tokens, the two are equi-joined on (k, hash), and ``contains`` verifies the candidates. Hash
+collisions only add candidates; they never lose a pair.
+
+A needle without an interior token is found through the vocabulary: its longest run of letters
+and digits, or of other characters, lies inside one such run (a unit) of the text. Distinct units
+are matched to needles by a character n-gram, and units lead to texts. No side is ever limited in
+size; joins are left to the engine, which broadcasts what proves small and splits hot keys.
+
+``mode="broadcast"`` asks for a nested loop over broadcast needles; beyond a checked size the
+anchor join takes its place, with the same result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
-# The nested loop does |texts| x |needles| substring tests: it is the choice only for a
-# small needle side. Beyond that the anchor join's work grows with the input, not the product.
-NESTED_LOOP_MAX_NEEDLES = 256
-BROADCAST_MAX_ROWS = 20_000
-BROADCAST_MAX_CHARS = 50_000_000
-# anchor keys are (k, 64-bit hash, needle id): a few million fit a broadcast comfortably
-ANCHOR_BROADCAST_MAX_ROWS = 2_000_000
+UNIT = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
+# the nested loop does |texts| x |needles| substring tests: only on request and when small
+BROADCAST_MAX_ROWS = 256
+BROADCAST_MAX_CHARS = 5_000_000
+GRAM = 3
 
 
 def _materialize(df: DataFrame, name: str, expr: Column) -> DataFrame:
@@ -84,59 +87,98 @@ def _text_runs(hay: DataFrame, hay_col: str, id_col: str, ks: list[int]) -> Data
     return out
 
 
+def _keyed(needles: DataFrame, needle_id: str, needle_col: str) -> DataFrame:
+    """needle_id, __k, __h: the anchor run of each needle; __k = 0 without one."""
+    anchored = _needle_anchor(needles.select(needle_id, needle_col), needle_col)
+    return anchored.select(
+        needle_id, "__k", F.when(F.col("__k") == 3, _run_hash(F.col("__run"), 3))
+        .when(F.col("__k") == 1, _run_hash(F.col("__run"), 1)).alias("__h"))
+
+
+def _anchor_candidates(hay: DataFrame, keyed: DataFrame, hay_id: str, hay_col: str,
+                       needle_id: str) -> DataFrame:
+    runs = _text_runs(hay, hay_col, hay_id, [1, 3])
+    return runs.join(keyed.filter(F.col("__k") > 0), ["__k", "__h"]).select(hay_id, needle_id).distinct()
+
+
+def _grams(col: str) -> Column:
+    """Distinct character n-grams of a short string, n = 1 .. GRAM; of an empty one, itself."""
+    lengths = F.sequence(F.lit(1), F.least(F.length(col), F.lit(GRAM)))
+    grams = F.array_distinct(F.flatten(F.transform(lengths, lambda n: F.transform(
+        F.sequence(F.lit(1), F.length(col) - n + 1), lambda i: F.substring(F.col(col), i, n)))))
+    return F.when(F.col(col) == "", F.array(F.lit(""))).otherwise(grams)
+
+
+def _units(col: str) -> Column:
+    return F.regexp_extract_all(F.col(col), F.lit(UNIT), F.lit(0))
+
+
+def _unit_candidates(hay: DataFrame, needles: DataFrame, hay_id: str, hay_col: str,
+                     needle_id: str, needle_col: str) -> DataFrame:
+    """Candidates of needles without an interior token. Every text has the empty unit too,
+    in which an empty needle is found."""
+    longest = F.array_max(F.transform(
+        _units(needle_col), lambda u: F.struct(F.length(u).alias("n"), u.alias("u"))))["u"]
+    sought = needles.filter(F.col(needle_col).isNotNull()).select(
+        needle_id, F.coalesce(longest, F.lit("")).alias("__part")).withColumn(
+        "__gram", F.substring("__part", 1, GRAM))
+    units = hay.filter(F.col(hay_col).isNotNull()).select(hay_id, F.explode(
+        F.array_union(_units(hay_col), F.array(F.lit("")))).alias("__unit"))
+    vocabulary = units.select("__unit").distinct()
+    hits = (vocabulary.select("__unit", F.explode(_grams("__unit")).alias("__gram"))
+            .join(sought, "__gram").filter(F.contains("__unit", "__part"))
+            .select("__unit", needle_id))
+    return units.join(hits, "__unit").select(hay_id, needle_id).distinct()
+
+
+def _verified(candidates: DataFrame, hay: DataFrame, needles: DataFrame, hay_id: str,
+              needle_id: str, conditions: list[Column]) -> DataFrame:
+    full = candidates.join(needles, needle_id).join(hay, hay_id)
+    return full.filter(reduce(lambda a, b: a & b, conditions))
+
+
 def anchor_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_col: str,
                 needle_id: str, needle_col: str, extra: Column | None = None) -> DataFrame:
     """All (hay row, needle row) pairs with needle ⊂ hay text (and ``extra``), exact."""
-    anchored = _needle_anchor(needles.select(needle_id, needle_col), needle_col)
-    keyed = anchored.filter(F.col("__k") > 0).select(
-        needle_id, "__k", F.when(F.col("__k") == 3, _run_hash(F.col("__run"), 3))
-        .otherwise(_run_hash(F.col("__run"), 1)).alias("__h"))
-    # one small driver read: which run lengths are used and how many anchors there are
-    stats = {r["__k"]: r["n"] for r in keyed.groupBy("__k").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ks = sorted(stats)
-    if ks:
-        runs = _text_runs(hay, hay_col, hay_id, ks)
-        # a bounded anchor set is broadcast, so the text runs are filtered where they are
-        # produced and only matching runs ever leave the map side
-        small = sum(stats.values()) <= ANCHOR_BROADCAST_MAX_ROWS
-        cand = runs.join(F.broadcast(keyed) if small else keyed, ["__k", "__h"]) \
-            .select(hay_id, needle_id).distinct()
-    else:
-        schema = T.StructType([hay.schema[hay_id], needles.schema[needle_id]])
-        cand = hay.sparkSession.createDataFrame([], schema)
-    full = (cand.join(hay, hay_id).join(needles, needle_id))
-    cond = F.contains(F.col(hay_col), F.col(needle_col))
-    if extra is not None:
-        cond = cond & extra
-    long_pairs = full.filter(cond)
-    short = needles.join(anchored.filter(F.col("__k") == 0).select(needle_id), needle_id, "left_semi")
-    row = short.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(needle_col)).alias("c")).first()
-    if row["n"] == 0:
-        return long_pairs
-    if row["n"] > BROADCAST_MAX_ROWS or (row["c"] or 0) > BROADCAST_MAX_CHARS:
-        raise ValueError("too many needles without an interior token for a broadcast nested loop")
-    short_pairs = nested_loop(hay, short, hay_col, needle_col, extra)
-    return long_pairs.unionByName(short_pairs.select(*long_pairs.columns))
+    keyed = _keyed(needles, needle_id, needle_col)
+    candidates = _anchor_candidates(hay, keyed, hay_id, hay_col, needle_id)
+    short = needles.join(keyed.filter(F.col("__k") == 0).select(needle_id), needle_id, "left_semi")
+    candidates = candidates.unionByName(
+        _unit_candidates(hay, short, hay_id, hay_col, needle_id, needle_col))
+    conditions = [F.contains(F.col(hay_col), F.col(needle_col))] + ([] if extra is None else [extra])
+    return _verified(candidates, hay, needles, hay_id, needle_id, conditions)
 
 
 def contain_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_col: str,
                  needle_id: str, needle_col: str, extra: Column | None = None,
-                 mode: str = "auto") -> DataFrame:
-    """Pairs with needle ⊂ hay. ``mode``: auto (size check), broadcast, anchor."""
-    if mode == "auto":
-        row = needles.agg(F.count(F.lit(1)).alias("n")).first()
-        mode = "broadcast" if row["n"] <= NESTED_LOOP_MAX_NEEDLES else "anchor"
+                 mode: str = "anchor") -> DataFrame:
+    """Pairs with needle ⊂ hay. ``mode``: anchor, or broadcast for a needle side that is
+    small (checked; a larger one is joined by anchors)."""
+    if mode not in ("anchor", "broadcast"):
+        raise ValueError(f"unknown mode {mode!r}")
     if mode == "broadcast":
         row = needles.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(needle_col)).alias("c")).first()
-        if row["n"] > BROADCAST_MAX_ROWS or (row["c"] or 0) > BROADCAST_MAX_CHARS:
-            raise ValueError("needle side too large to broadcast; use mode='anchor'")
-        return nested_loop(hay, needles, hay_col, needle_col, extra)
-    if mode == "anchor":
-        return anchor_join(hay, needles, hay_id, hay_col, needle_id, needle_col, extra)
-    raise ValueError(f"unknown mode {mode!r}")
-
-
-def map_to_items(parsed: DataFrame, items: DataFrame, mode: str = "auto") -> tuple[DataFrame, DataFrame]:
+        if row["n"] <= BROADCAST_MAX_ROWS and (row["c"] or 0) <= BROADCAST_MAX_CHARS:
+            return nested_loop(hay, needles, hay_col, needle_col, extra)
+    return anchor_join(hay, needles, hay_id, hay_col, needle_id, needle_col, extra)
+
+
+def _contained_both(hay: DataFrame, keys: DataFrame) -> DataFrame:
+    """Pairs with __sc ⊂ __text and __q ⊂ __iq. A key is found through its sentence if that
+    has an anchor, else through its question, else through the sentence's longest unit: a
+    short sentence alone would meet a share of all texts."""
+    by_sentence = _keyed(keys, "__kid", "__sc")
+    rest = keys.join(by_sentence.filter(F.col("__k") == 0).select("__kid"), "__kid", "left_semi")
+    by_question = _keyed(rest, "__kid", "__q")
+    last = rest.join(by_question.filter(F.col("__k") == 0).select("__kid"), "__kid", "left_semi")
+    candidates = (_anchor_candidates(hay, by_sentence, "__iord", "__text", "__kid")
+                  .unionByName(_anchor_candidates(hay, by_question, "__iord", "__iq", "__kid"))
+                  .unionByName(_unit_candidates(hay, last, "__iord", "__text", "__kid", "__sc")))
+    return _verified(candidates, hay, keys, "__iord", "__kid",
+                     [F.contains("__iq", "__q"), F.contains("__text", "__sc")])
+
+
+def map_to_items(parsed: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """J2 + J3: map each parsed instruction (sentence_context, question) to the retrieval
     item whose positive text contains the sentence and whose question contains the
     question; the item with the largest ord wins per key. Rows without an item are
@@ -146,8 +188,7 @@ def map_to_items(parsed: DataFrame, items: DataFrame, mode: str = "auto") -> tup
         F.col("sentence_context").alias("__sc"), F.col("question").alias("__q"))
     hay = items.select(F.col("ord").alias("__iord"), F.get(F.col("positive_ctxs.text"), 0).alias("__text"),
                        F.col("question").alias("__iq"))
-    pairs = contain_join(hay, keys, "__iord", "__text", "__kid", "__sc",
-                         extra=F.contains(F.col("__iq"), F.col("__q")), mode=mode)
+    pairs = _contained_both(hay, keys)
     best = pairs.groupBy("__sc", "__q").agg(F.max("__iord").alias("item_ord"))
     mapped = parsed.join(best.withColumnRenamed("__sc", "sentence_context").withColumnRenamed("__q", "question"),
                          ["sentence_context", "question"], "left")

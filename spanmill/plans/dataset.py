@@ -29,11 +29,13 @@ class DatasetResult:
 
 
 def build_dataset(spark: SparkSession, instructions: DataFrame, items: DataFrame,
-                  opts: AssembleOptions = AssembleOptions(), map_mode: str = "auto") -> DatasetResult:
+                  opts: AssembleOptions = AssembleOptions()) -> DatasetResult:
     parsed, bad = parse_instructions(instructions)
     ranked = with_row_number(parsed, ["ord", "block"], "i")
     ranked = ranked.withColumn("n", scalar(parsed, F.count(F.lit(1))))
-    mapped, unmapped = map_to_items(ranked, items, map_mode)
+    ranked = cut_lineage(ranked)
+    mapped, unmapped = map_to_items(ranked, items)
     mapped = cut_lineage(mapped)
-    final, parts = assemble(mapped.select("i", "n", "question", "answer", "item_ord"), items, spark, opts)
+    final, parts = assemble(mapped.select("i", "n", "question", "answer", "item_ord"), items, spark, opts,
+                            ranked.select("i", "question"))
     return DatasetResult(final, mapped, bad.unionByName(unmapped), parts)

@@ -86,8 +86,8 @@ SELECT m.i, m.n, m.question, m.answer AS gen_answer, q.answer AS item_answer, [q
 FROM mapped m JOIN qa q ON q.ord = m.item_ord LEFT JOIN negs g ON g.doc_id = q.ord""")
 O.cte("dr", f"""
 SELECT i, question, row_number() OVER (ORDER BY md5('{DEFAULT_SEED}|' || question), i) - 1 AS p,
-       count(*) OVER () AS nn FROM mapped""")
-O.cte("dm", "SELECT max(c) AS m FROM (SELECT count(*) AS c FROM mapped GROUP BY question)")
+       count(*) OVER () AS nn FROM iranked""")
+O.cte("dm", "SELECT max(c) AS m FROM (SELECT count(*) AS c FROM iranked GROUP BY question)")
 O.cte("deranged", """
 SELECT a.i, a.question, b.question AS new_question
 FROM dr a JOIN dr b ON b.p = (a.p + (SELECT m FROM dm)) % a.nn""")
@@ -109,7 +109,7 @@ FROM (SELECT *, {_shuffle_sql('list_concat(pos_out, neg_out)', f"'{key_prefix}:'
               CASE WHEN n_pos = 0 THEN []::VARCHAR[]
                    WHEN pos_len = -1 AND n_pos = 1 THEN list_slice(pos_ctxs, 1, 1) END AS pos_out,
               CASE WHEN n_neg = 0 THEN []::VARCHAR[]
-                   WHEN neg_len = -1 AND n_neg BETWEEN 1 AND 3 THEN list_slice(neg_ctxs, 1, n_neg) END AS neg_out
+                   WHEN neg_len = -1 AND n_neg BETWEEN 1 AND 3 THEN list_slice(neg_ctxs, 1, CASE WHEN n_neg = 3 THEN len(neg_ctxs) ELSE n_neg END) END AS neg_out
             FROM {rows}))"""
 
 
@@ -257,7 +257,8 @@ CASE WHEN n_pos = 0 THEN []::VARCHAR[]
                            ELSE []::VARCHAR[] END) END"""
     neg = f"""
 CASE WHEN n_neg = 0 THEN []::VARCHAR[]
-     WHEN neg_len = -1 AND n_neg BETWEEN 1 AND 3 THEN list_slice(neg_ctxs, 1, n_neg)
+     WHEN neg_len = -1 AND n_neg BETWEEN 1 AND 3
+       THEN list_slice(neg_ctxs, 1, CASE WHEN n_neg = 3 THEN len(neg_ctxs) ELSE n_neg END)
      ELSE list_slice({_shuffle_sql('coalesce(nchunks, []::VARCHAR[])', key + " || '|n'")}, 1, n_neg) END"""
     return f"""
 SELECT *, CASE WHEN len(pos_out) > 0 THEN CAST(list_position(contexts, pos_out[1]) - 1 AS INTEGER)

@@ -91,3 +91,17 @@ WHERE rank <= {DISSIMILAR_TOP}""")
 def q_dissimilar_negatives(spark, sf_dir):
     return dissimilar_partners(_t(spark, sf_dir).embeddings, "vec_id", "embedding", DISSIMILAR_K,
                                DISSIMILAR_MAX_COSINE, DISSIMILAR_TOP, DEFAULT_SEED)
+
+
+NEAR_DUP_COSINE = 0.9
+_UNIT_SQL = "list_transform(embedding, lambda x: CAST(x AS DOUBLE))"
+
+
+@register("near_dup_reject", f"""
+WITH e AS (SELECT vec_id, {_UNIT_SQL} AS v FROM embeddings)
+SELECT vec_id FROM e a WHERE NOT EXISTS (
+  SELECT 1 FROM e b WHERE b.vec_id < a.vec_id AND list_cosine_similarity(a.v, b.v) >= {NEAR_DUP_COSINE})""")
+def q_near_dup_reject(spark, sf_dir):
+    from ..operators.neardup import near_dup_reject
+    rows = _t(spark, sf_dir).embeddings
+    return near_dup_reject(rows, "vec_id", "embedding", NEAR_DUP_COSINE)[0].select("vec_id")

@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from .text import RSTRIP_RE, WS
 
-MARK = "\u0001"
+# a sentence ends behind the mark and the white space before an upper-case letter
 SPLIT_RE = rf"([.!?])({WS}+)(\p{{Lu}})"
+BOUNDARY_RE = rf"[.!?]{WS}+(?=\p{{Lu}})"
 BLOCK = 32
 
 SENTENCE_TYPE = "array<struct<i:int,start:int,end:int,text:string>>"
@@ -37,39 +38,40 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-# Placeholder for a guarded dot: same length (one code point), never a sentence end.
-GUARD = "\uFDD0"
 DEFAULT_ABBREVIATIONS = ("Dr", "Prof", "Nr", "St", "bzw", "ca", "vgl", "usw", "etc", "Mr", "Mrs", "No")
 
 
-def guard_pattern(ordinals: bool, abbreviations) -> str | None:
-    """Dots that must not end a sentence: after a 1-3 digit number (day ordinals such as
-    "3. Mai") and after the given abbreviations; both as whole words."""
+def boundary_pattern(ordinals: bool = False, abbreviations=()) -> str:
+    """Sentence ends. Dots after a 1-3 digit number (day ordinals such as "3. Mai") and after
+    the given abbreviations, both as whole words, can be excepted."""
     alts = []
     if ordinals:
         alts.append(r"\p{N}{1,3}")
-    if abbreviations:
-        alts.append("(?:" + "|".join(a.replace(".", "\\.") for a in abbreviations) + ")")
+    alts += [a.replace(".", "\\.") for a in abbreviations]
     if not alts:
-        return None
-    return r"(?<![\p{L}\p{N}])(" + "|".join(alts) + r")\."
+        return BOUNDARY_RE
+    guard = r"(?<![\p{L}\p{N}])(?:" + "|".join(alts) + ")"
+    return rf"(?:[!?]|(?<!{guard})\.){WS}+(?=\p{{Lu}})"
+
+
+def sentence_parts(text, pattern: str = BOUNDARY_RE) -> Column:
+    """The text cut behind every boundary; the parts joined are the text again."""
+    t = F.col(text) if isinstance(text, str) else text
+    return F.zip_with(F.split(t, pattern, -1), F.regexp_extract_all(t, F.lit(pattern), F.lit(0)),
+                      lambda part, end: F.concat(part, F.coalesce(end, F.lit(""))))
 
 
 def with_sentences(df: DataFrame, text_col: str, out_col: str = "sents", guard_ordinals: bool = False,
-                   abbreviations=()) -> DataFrame:
-    """Add ``out_col`` = sentences of ``text_col`` (null text -> null). Optional guards
-    mask dots after ordinals / abbreviations before the split and restore them after, so
-    offsets are unchanged (the default rule is the one the oracle restates)."""
+                   abbreviations=(), splitter=None) -> DataFrame:
+    """Add ``out_col`` = sentences of ``text_col`` (null text -> null). Optional guards keep
+    dots after ordinals / abbreviations from ending a sentence (the default rule is the one
+    the oracle restates). ``splitter`` is a caller's own rule: a function from the text column
+    to an array of parts that joined are the text."""
     t = f"`{text_col}`"
     p, ln, bs, bo, st = (f"__{out_col}_{x}" for x in ("parts", "lens", "bsum", "boff", "starts"))
     B = BLOCK
-    src = F.col(text_col)
-    gp = guard_pattern(guard_ordinals, abbreviations)
-    if gp:
-        src = F.regexp_replace(src, gp, "$1" + GUARD)
-    parts = F.split(F.regexp_replace(src, SPLIT_RE, "$1$2" + MARK + "$3"), MARK, -1)
-    if gp:
-        parts = F.transform(parts, lambda x: F.replace(x, F.lit(GUARD), F.lit(".")))
+    parts = (splitter(F.col(text_col)) if splitter else
+             sentence_parts(text_col, boundary_pattern(guard_ordinals, abbreviations)))
     out = df.withColumn(p, parts)
     out = out.withColumn(ln, F.expr(f"transform(`{p}`, x -> length(x))"))
     out = out.withColumn(bs, F.expr(

@@ -37,14 +37,15 @@ def rule_predicates(rules: ExclusionRules) -> list[tuple[str, str, Column]]:
     return out
 
 
-def exclude(items: DataFrame, rules: ExclusionRules) -> DataFrame:
+def exclude(items: DataFrame, rules: ExclusionRules, *more: Column) -> DataFrame:
     """Drop every row hit by any rule (all rules act, unlike the original script).
-    The rules are an OR-folded predicate evaluated in the scan stage."""
-    preds = rule_predicates(rules)
+    The rules are an OR-folded predicate evaluated in the scan stage. ``more`` are a caller's
+    own predicates: a row that one of them holds for is dropped too."""
+    preds = [p for _, _, p in rule_predicates(rules)] + [F.coalesce(p, F.lit(False)) for p in more]
     if not preds:
         return items
-    hit = preds[0][2]
-    for _, _, p in preds[1:]:
+    hit = preds[0]
+    for p in preds[1:]:
         hit = hit | p
     return items.filter(~hit)
 
@@ -64,21 +65,25 @@ def rule_hit_counts(items: DataFrame, rules: ExclusionRules) -> DataFrame:
     return one.select("n_rows", "n_kept", F.inline(rows))
 
 
-def collapse(items: DataFrame, policy: str = "longest", seed: str = "42") -> DataFrame:
+def collapse(items: DataFrame, policy: str | Column = "longest", seed: str = "42") -> DataFrame:
     """A1: one item per identical positive context.
 
-    longest / shortest answer (tie -> smaller ord), first (smallest ord) or random (seeded
-    md5 order). Output ``ord`` is the first-seen ord of the group (so later positional
+    longest / shortest answer (tie -> smaller ord), first (smallest ord), random (seeded
+    md5 order), or a caller's order key (the smallest wins, tie -> smaller ord). Items without
+    a context are not identical to each other: each stays. Output ``ord`` is the first-seen ord of the group (so later positional
     steps keep the first-seen order); ``src_ord`` is the ord of the kept item.
     Map-side partial aggregation keeps one candidate per group and map task before the
     shuffle, so a context repeated in a third of all rows costs one row per task."""
-    if policy not in POLICIES:
+    own = isinstance(policy, Column)
+    if not own and policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
     alen = F.length(ANSWER())
     ordc = F.col("ord")
     rest = [c for c in items.columns if c != "ord"]
     row = F.struct(ordc.alias("src_ord"), *[F.col(c) for c in rest])
-    if policy == "longest":
+    if own:
+        pick = F.min(F.struct(policy.alias("k1"), ordc.alias("k2"), row.alias("row")))
+    elif policy == "longest":
         pick = F.max(F.struct(alen.alias("k1"), (-ordc).alias("k2"), row.alias("row")))
     elif policy == "shortest":
         pick = F.min(F.struct(alen.alias("k1"), ordc.alias("k2"), row.alias("row")))
@@ -89,6 +94,6 @@ def collapse(items: DataFrame, policy: str = "longest", seed: str = "42") -> Dat
         pick = F.min(F.struct(h.alias("k1"), ordc.alias("k2"), row.alias("row")))
     # group on a sha-256 of the context: the text then crosses the shuffle once (inside
     # the kept row) instead of twice (key and row)
-    grouped = items.groupBy(F.sha2(CONTEXT(), 256).alias("__ctx")).agg(F.min(ordc).alias("ord"),
-                                                                      pick.alias("__pick"))
+    key = F.coalesce(F.sha2(CONTEXT(), 256), F.concat(F.lit("none:"), ordc.cast("string")))
+    grouped = items.groupBy(key.alias("__ctx")).agg(F.min(ordc).alias("ord"), pick.alias("__pick"))
     return grouped.select("ord", "__pick.row.*")

@@ -21,7 +21,7 @@ def strip_headings(df: DataFrame, text_col: str, answer_col: str | None = None,
     """Adds ``stripped`` (null when rejected) and ``reason``."""
     lines = F.split(F.col(text_col), "\n", -1)
     d = df.withColumn("__l0", lines)
-    first_ok = is_single_word(F.get(F.col("__l0"), 0))
+    first_ok = F.coalesce(is_single_word(F.get(F.col("__l0"), 0)), F.lit(False))
     d = d.withColumn("__l1", F.slice("__l0", 2, F.greatest(F.size("__l0") - 1, F.lit(0))))
     d = d.withColumn("__l2", F.when(F.get(F.col("__l1"), 0) == "",
                                     F.slice("__l1", 2, F.greatest(F.size("__l1") - 1, F.lit(0))))
@@ -29,8 +29,9 @@ def strip_headings(df: DataFrame, text_col: str, answer_col: str | None = None,
     d = d.withColumn("__l3", F.when(char_count(F.get(F.col("__l2"), 0), "=") >= 2,
                                     F.slice("__l2", 2, F.greatest(F.size("__l2") - 1, F.lit(0))))
                      .otherwise(F.col("__l2")))
-    single_next = is_single_word(F.get(F.col("__l3"), 0))
-    excepted = F.col(answer_col).isin(list(exceptions)) if answer_col else F.lit(False)
+    single_next = F.coalesce(is_single_word(F.get(F.col("__l3"), 0)), F.lit(False))
+    excepted = (F.coalesce(F.col(answer_col).isin(list(exceptions)), F.lit(False))
+                if answer_col else F.lit(False))
     d = d.withColumn("reason", F.when(~first_ok, F.lit("title_not_single_word"))
                      .when(single_next & ~excepted, F.lit("single_token_line")))
     final_lines = F.when(single_next & excepted, F.slice("__l3", 2, F.greatest(F.size("__l3") - 1, F.lit(0)))) \

@@ -50,10 +50,15 @@ def reply_with(prompts: DataFrame, generate: Callable[[pd.Series], pd.Series]) -
 
 
 def attach_replies(subset: DataFrame, replies: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One reply per prompt row (left join on ord); rows without reply -> rejects."""
-    joined = subset.join(replies.select("ord", "response"), "ord", "left")
-    missing = joined.filter(F.col("response").isNull()).withColumn("reason", F.lit("no_reply"))
-    return joined.filter(F.col("response").isNotNull()), _rejects(missing, "generate")
+    """One reply per prompt row (left join on ord). Rows without a reply, and rows whose
+    replies differ, go to rejects; a reply that is there twice counts once."""
+    one = replies.filter(F.col("response").isNotNull()).groupBy("ord").agg(
+        F.min("response").alias("response"), F.max("response").alias("__last"))
+    joined = subset.join(one, "ord", "left").withColumn(
+        "reason", F.when(F.col("response").isNull(), F.lit("no_reply"))
+        .when(F.col("response") != F.col("__last"), F.lit("several_replies"))).drop("__last")
+    return (joined.filter(F.col("reason").isNull()).drop("reason"),
+            _rejects(joined.filter(F.col("reason").isNotNull()), "generate"))
 
 
 def reply_status(replied: DataFrame, opts: GenerateOptions) -> DataFrame:
@@ -90,9 +95,10 @@ def cap_rows(rows: DataFrame, target: int | None) -> DataFrame:
     return ranked.filter(F.col("__n") < target).drop("__n")
 
 
-def parse_instructions(instructions: DataFrame) -> tuple[DataFrame, DataFrame]:
+def parse_instructions(instructions: DataFrame, carry: list[str] = ()) -> tuple[DataFrame, DataFrame]:
     """V1 (X1-X3): split the instruction at the question separator (exactly two parts,
-    else reject), remove the context prefix everywhere (D14), strip all three fields."""
+    else reject), remove the context prefix everywhere (D14), strip all three fields.
+    ``carry`` names input columns to keep beside them."""
     parts = split_exact("instruction", QUESTION_SEPARATOR)
     d = instructions.withColumn("__p", parts).withColumn(
         "reason", F.when(F.col("instruction").isNull() | (F.size("__p") != 2), F.lit("bad_separator"))
@@ -101,7 +107,7 @@ def parse_instructions(instructions: DataFrame) -> tuple[DataFrame, DataFrame]:
         "ord", "block",
         strip(F.col("__p")[1]).alias("question"),
         strip(F.replace(F.col("__p")[0], F.lit(CONTEXT_PREFIX), F.lit(""))).alias("sentence_context"),
-        strip("response").alias("answer"))
+        strip("response").alias("answer"), *carry)
     return ok, _rejects(d.filter(F.col("reason").isNotNull()), "parse")
 
 
@@ -111,11 +117,30 @@ def judge_prompts(parsed: DataFrame, template: str) -> DataFrame:
                                                          context="sentence_context").alias("prompt"))
 
 
+def judge_with(prompts: DataFrame, judge: Callable[[pd.Series], pd.DataFrame]) -> DataFrame:
+    """Hook: fill verdicts by a user function over batches of judge prompts. It returns a
+    frame with ``is_valid`` (true, false or missing) and ``error_messages`` in the same order."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            verdict = judge(b["prompt"]).reset_index(drop=True)
+            keys = b[["ord", "block"]].reset_index(drop=True)
+            yield keys.assign(is_valid=verdict["is_valid"], error_messages=verdict["error_messages"])
+    return prompts.mapInPandas(run, "ord long, block long, is_valid boolean, error_messages string")
+
+
 def attach_verdicts(rows: DataFrame, verdicts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """V3: left join the verdict on ord; a missing verdict goes to rejects."""
-    j = rows.join(verdicts.select("ord", "is_valid", "error_messages"), "ord", "left")
-    missing = j.filter(F.col("is_valid").isNull()).withColumn("reason", F.lit("no_verdict"))
-    return j.filter(F.col("is_valid").isNotNull()), _rejects(missing, "validate")
+    """V3: left join the verdict on (ord, block); without a block column in ``verdicts`` a
+    verdict holds for all blocks of its ord. A row without a verdict, and one whose verdicts
+    contradict each other, go to rejects."""
+    keys = [c for c in ("ord", "block") if c in verdicts.columns]
+    one = verdicts.filter(F.col("is_valid").isNotNull()).groupBy(*keys).agg(
+        F.bool_and("is_valid").alias("is_valid"), F.bool_or("is_valid").alias("__any"),
+        F.min("error_messages").alias("error_messages"))
+    j = rows.join(one, keys, "left").withColumn(
+        "reason", F.when(F.col("is_valid").isNull(), F.lit("no_verdict"))
+        .when(F.col("is_valid") != F.col("__any"), F.lit("several_verdicts"))).drop("__any")
+    return (j.filter(F.col("reason").isNull()).drop("reason"),
+            _rejects(j.filter(F.col("reason").isNotNull()), "validate"))
 
 
 def split_by_verdict(judged: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:

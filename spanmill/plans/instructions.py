@@ -47,9 +47,9 @@ class ValidationResult:
 
 def validate(instructions: DataFrame, verdicts: DataFrame,
              template: str = DEFAULT_JUDGE_TEMPLATE) -> ValidationResult:
-    parsed, bad = G.parse_instructions(instructions)
+    carried = [c for c in INSTRUCTION_COLUMNS if c not in ("ord", "block")]
+    parsed, bad = G.parse_instructions(instructions, carried)
     judge = G.judge_prompts(parsed, template)
-    judged, missing = G.attach_verdicts(parsed.select("ord", "block"), verdicts)
-    original = instructions.join(judged, ["ord", "block"])
-    valid, invalid = G.split_by_verdict(original, INSTRUCTION_COLUMNS)
+    judged, missing = G.attach_verdicts(parsed.select(*INSTRUCTION_COLUMNS), verdicts)
+    valid, invalid = G.split_by_verdict(judged, INSTRUCTION_COLUMNS)
     return ValidationResult(judge, valid, invalid, bad.unionByName(missing))

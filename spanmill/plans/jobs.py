@@ -12,10 +12,11 @@ import sys
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..options import AssembleOptions, GenerateOptions, SubsetOptions
 from ..sources import fixtures as fx
-from ..sources.jsonl import INSTRUCTION_SCHEMA, read_jsonl, write_jsonl, write_split
+from ..sources.jsonl import INSTRUCTION_SCHEMA, SUBSET_SCHEMA, read_jsonl, write_jsonl, write_split
 from ..sources.tables import Tables
 from .dataset import build_dataset
 from .instructions import INSTRUCTION_COLUMNS, build_instructions, validate
@@ -26,18 +27,19 @@ def subset_job(spark: SparkSession, sf_dir: str, out: str, opts: SubsetOptions =
     t = Tables(spark, sf_dir, materialize=True)
     r = build_subset(fx.qa_items(t), fx.spans(t), opts, materialize=True)
     write_jsonl(r.rows.select("question", "answer_span", "sentence_context", "ord"), f"{out}/subset")
-    write_jsonl(r.rejects, f"{out}/subset_rejects")
+    write_jsonl(r.rejects.unionByName(fx.document_rejects(t)), f"{out}/subset_rejects")
     write_jsonl(subset_summary(r.cut), f"{out}/subset_summary")
 
 
 def generate_job(spark: SparkSession, sf_dir: str, out: str, opts: GenerateOptions = GenerateOptions()) -> None:
     """Prompts are written for the model; replies are read back as a table. Here the
     reply table is the fixture rule over the subset (no model is called)."""
-    subset = spark.read.json(f"{out}/subset")
+    schema = T.StructType([T.StructField("ord", T.LongType()), *SUBSET_SCHEMA.fields])
+    subset, bad_lines = read_jsonl(spark, f"{out}/subset", schema, "read")
     r = build_instructions(subset, fx.responses(subset), opts, materialize=True)
     write_jsonl(r.prompts, f"{out}/prompts")
     write_jsonl(r.rows.select(*INSTRUCTION_COLUMNS), f"{out}/instructions")
-    write_jsonl(r.rejects, f"{out}/generate_rejects")
+    write_jsonl(r.rejects.unionByName(bad_lines), f"{out}/generate_rejects")
     v = validate(r.rows, fx.verdicts(Tables(spark, sf_dir)))
     judged = v.valid.withColumn("is_valid", F.lit(True)).unionByName(
         v.invalid.withColumn("is_valid", F.lit(False)))
@@ -48,8 +50,6 @@ def generate_job(spark: SparkSession, sf_dir: str, out: str, opts: GenerateOptio
 def dataset_job(spark: SparkSession, sf_dir: str, out: str, opts: AssembleOptions = AssembleOptions(),
                 source: str = "instructions") -> None:
     """``source``: ``instructions`` (all rows, as the original) or ``valid_items``."""
-    from pyspark.sql import types as T
-
     schema = T.StructType([T.StructField("ord", T.LongType()), T.StructField("block", T.LongType())]
                           + list(INSTRUCTION_SCHEMA.fields))
     rows, bad_lines = read_jsonl(spark, f"{out}/{source}", schema, "read")

@@ -41,7 +41,7 @@ def cte(name: str, body: str) -> None:
 
 
 # ---- fixture views -------------------------------------------------------------
-cte("udocs", "SELECT * FROM documents WHERE text IS NOT NULL AND strpos(text, chr(1)) = 0")
+cte("udocs", "SELECT * FROM documents WHERE text IS NOT NULL")
 cte("sent_rows", f"""
 SELECT doc_id, unnest(parts) AS part, unnest(range(0, len(parts))) AS i
 FROM (SELECT doc_id, string_split(regexp_replace(text, {q(SPLIT_RE)}, '\\1\\2' || chr(1) || '\\3', 'g'),

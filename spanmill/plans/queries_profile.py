@@ -49,9 +49,11 @@ SELECT 'answer' AS field, answer AS value, count(*) AS n, min(ord) AS first_ord
 FROM qa GROUP BY answer HAVING count(*) > 1""")
 def q_duplicate_values(spark, sf_dir):
     items = fx.qa_items(_t(spark, sf_dir))
-    q = P.duplicated_values(items, F.col("question")).select(F.lit("question").alias("field"), "*")
-    a = P.duplicated_values(items, ANSWER()).select(F.lit("answer").alias("field"), "*")
-    return q.unionByName(a)
+    # one pass over the items: a row gives its question and its answer
+    each = F.explode(F.array(F.struct(F.lit("question").alias("field"), F.col("question").alias("value")),
+                             F.struct(F.lit("answer").alias("field"), ANSWER().alias("value"))))
+    values = items.select("ord", each.alias("x")).select("ord", "x.field", "x.value")
+    return P.duplicated_values(values, F.col("value"), by=["field"])
 
 
 @register("duplicate_rows", """
@@ -116,7 +118,7 @@ def q_row_counts(spark, sf_dir):
         scalar(items, F.count(F.lit(1))).alias("n_items"),
         scalar(fx.spans(t), F.count(F.lit(1))).alias("n_spans"),
         scalar(fx.questions(t), F.count(F.lit(1))).alias("n_questions"),
-        scalar(items, F.count_distinct(CONTEXT())).alias("n_contexts"))
+        scalar(items, F.count_distinct(P.digest(CONTEXT()))).alias("n_contexts"))
 
 
 @register("title_member", """

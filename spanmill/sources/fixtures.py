@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sentences import MARK, with_sentences
+from ..functions.sentences import with_sentences
 from ..operators.ranking import scalar, with_group_row_number, with_row_number
 from ..options import ANSWER_END_MARKER, ANSWER_START_MARKER
 from .tables import Tables, spread
@@ -31,9 +31,14 @@ REFUSAL_REPLY = "As an AI, I cannot provide an answer to this question."
 
 
 def usable_documents(t: Tables) -> DataFrame:
-    """Documents whose text can be segmented (U+0001 is the split mark)."""
-    return t.view("usable_documents", lambda: spread(
-        t.documents.filter(F.col("text").isNotNull() & (F.instr("text", MARK) == 0))))
+    """Documents that have a text; ``document_rejects`` has the others."""
+    return t.view("usable_documents", lambda: spread(t.documents.filter(F.col("text").isNotNull())))
+
+
+def document_rejects(t: Tables) -> DataFrame:
+    return t.documents.filter(F.col("text").isNull()).select(
+        F.lit("subset").alias("stage"), F.col("doc_id").cast("string").alias("key"),
+        F.lit("no_text").alias("reason"))
 
 
 def _sentences_long(t: Tables) -> DataFrame:
@@ -108,16 +113,15 @@ def _qa_items(t: Tables) -> DataFrame:
 def _spans(t: Tables) -> DataFrame:
     """Span items (question, context, answers{text, answer_start}, ord)."""
     flat = qa_flat(t).filter(F.pmod("doc_id", F.lit(5)) != 0)
-    good = flat.select("question", F.col("text").alias("context"), "answer",
-                       F.col("answer_start").cast("int").alias("answer_start"), "ord")
-    stale = (flat.filter(F.pmod("doc_id", F.lit(7)) == 0)
-             .select("question", F.col("text").alias("context"), "answer",
-                     F.lit(-1).alias("answer_start"), (F.lit(-1) - F.col("ord")).alias("ord")))
-    both = good.unionByName(stale)
-    return both.select("question", "context",
-                       F.struct(F.array("answer").alias("text"),
-                                F.array("answer_start").alias("answer_start")).alias("answers"),
-                       "ord")
+    good = F.struct(F.col("answer_start").cast("int").alias("answer_start"), F.col("ord").alias("ord"))
+    stale = F.struct(F.lit(-1).alias("answer_start"), (F.lit(-1) - F.col("ord")).alias("ord"))
+    # one pass: a row gives one or two span items
+    each = F.explode(F.when(F.pmod("doc_id", F.lit(7)) == 0, F.array(good, stale)).otherwise(F.array(good)))
+    return (flat.select("question", F.col("text").alias("context"), "answer", each.alias("v"))
+            .select("question", "context",
+                    F.struct(F.array("answer").alias("text"),
+                             F.array("v.answer_start").alias("answer_start")).alias("answers"),
+                    "v.ord"))
 
 
 def reply_for(ord_col, sentence_col, answer_col):

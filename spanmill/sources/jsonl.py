@@ -70,12 +70,24 @@ NESTED_SCHEMA = T.StructType([T.StructField("data", T.ArrayType(T.StructType([
                 T.StructField("answer_start", T.IntegerType())])))])))])))])))])
 
 
+def _nested_files(spark: SparkSession, path: str) -> DataFrame:
+    schema = T.StructType([*NESTED_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    return (spark.read.schema(schema).option("multiLine", "true")
+            .option("columnNameOfCorruptRecord", CORRUPT).json(path)
+            .withColumn("__file", F.input_file_name()))
+
+
+def nested_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Files that ``read_nested_spans`` cannot use: unreadable, or without a data list."""
+    return _nested_files(spark, path).filter(F.col("data").isNull()).select(
+        F.lit("read").alias("stage"), F.col("__file").alias("key"), F.lit("corrupt_file").alias("reason"))
+
+
 def read_nested_spans(spark: SparkSession, path: str) -> DataFrame:
     """Article / paragraph / question files (one JSON document per file) as span
     items (question, context, answers{text, answer_start}, title, ord). ``ord`` follows
     file, article, paragraph and question order."""
-    docs = spark.read.schema(NESTED_SCHEMA).option("multiLine", "true").json(path) \
-        .withColumn("__file", F.input_file_name())
+    docs = _nested_files(spark, path)
     art = docs.select("__file", F.posexplode("data").alias("__a", "a"))
     par = art.select("__file", "__a", F.col("a.title").alias("title"),
                      F.posexplode("a.paragraphs").alias("__p", "p"))
@@ -85,5 +97,6 @@ def read_nested_spans(spark: SparkSession, path: str) -> DataFrame:
                        F.col("qa.question").alias("question"),
                        F.struct(F.col("qa.answers.text").alias("text"),
                                 F.col("qa.answers.answer_start").alias("answer_start")).alias("answers"))
-    ranked = with_row_number(items, ["__file", "__a", "__p", "__q"], "ord")
+    ranked = with_row_number(items, ["__file", "__a", "__p", "__q"], "ord", top=F.col("__file"),
+                             bucket=F.col("__a"))
     return ranked.select("question", "context", "answers", "title", "ord")

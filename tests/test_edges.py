@@ -66,7 +66,6 @@ def test_mapping_last_item_wins_and_no_match(spark):
                                    (7, "Andere Frage", {"text": ["Anna kam heute zu uns nach Hause."]})], item)
     parsed = spark.createDataFrame([(0, 0, "kam heute zu uns nach", "kam heute"), (1, 0, "nicht da", "kam")],
                                    "ord bigint, block bigint, sentence_context string, question string")
-    for mode in ("broadcast", "anchor"):
-        mapped, rejects = map_to_items(parsed, items, mode)
-        assert [(r["ord"], r["item_ord"]) for r in mapped.collect()] == [(0, 5)], mode
-        assert [r["reason"] for r in rejects.collect()] == ["no_source_item"], mode
+    mapped, rejects = map_to_items(parsed, items)
+    assert [(r["ord"], r["item_ord"]) for r in mapped.collect()] == [(0, 5)]
+    assert [r["reason"] for r in rejects.collect()] == ["no_source_item"]

@@ -49,11 +49,22 @@ def contains(col, needle) -> Column:
 
 
 def all_offsets(text, needle) -> Column:
-    """0-based start of every occurrence, overlapping; an empty needle hits every index."""
+    """0-based start of every occurrence, overlapping; an empty needle hits every index.
+
+    The text is cut in front of every occurrence, so the pieces' lengths add up to the starts;
+    no position is compared one by one."""
     t, n = _c(text), _c(needle)
-    idx = F.when(F.length(t) > 0, F.sequence(F.lit(0), F.length(t) - 1)) \
-        .otherwise(F.array().cast("array<int>"))
-    return F.filter(idx, lambda i: F.substr(t, i + 1, F.length(n)) == n)
+    none = F.array().cast("array<int>")
+    every = F.when(F.length(t) > 0, F.sequence(F.lit(0), F.length(t) - 1)).otherwise(none)
+    quoted = F.concat(F.lit(r"(?=\Q"), F.replace(n, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E)"))
+    start = F.struct(F.lit(0).alias("at"), none.alias("starts"))
+    starts = F.aggregate(
+        F.split(t, quoted, -1), start,
+        lambda s, piece: F.struct((s["at"] + F.length(piece)).alias("at"),
+                                  F.concat(s["starts"], F.array(s["at"])).alias("starts")))["starts"]
+    # the first piece begins with the text, whether or not with an occurrence
+    hits = F.when(F.startswith(t, n), starts).otherwise(F.slice(starts, 2, F.size(starts)))
+    return F.when(t.isNull() | n.isNull(), none).when(n == "", every).otherwise(hits)
 
 
 def offset_ok(text, needle, start) -> Column:

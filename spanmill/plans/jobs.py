@@ -54,7 +54,7 @@ def dataset_job(spark: SparkSession, sf_dir: str, out: str, opts: AssembleOption
                           + list(INSTRUCTION_SCHEMA.fields))
     rows, bad_lines = read_jsonl(spark, f"{out}/{source}", schema, "read")
     t = Tables(spark, sf_dir, materialize=True)
-    r = build_dataset(spark, rows, fx.qa_items(t), opts)
+    r = build_dataset(spark, rows, fx.items_with_negatives(t), opts)
     write_jsonl(r.rows.select("contexts", "question", "answer", "positive_ctx_idx", "pass", "i"), f"{out}/dataset")
     write_jsonl(r.rejects.unionByName(bad_lines), f"{out}/dataset_rejects")
 

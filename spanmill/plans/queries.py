@@ -43,7 +43,7 @@ def _t(spark, sf_dir, materialize: bool = False) -> Tables:
     return Tables(spark, sf_dir, materialize)
 
 
-def _subset(spark, sf_dir, policy="longest", materialize=False, t=None):
+def _subset(spark, sf_dir, policy="longest", materialize=True, t=None):
     t = t or _t(spark, sf_dir, materialize)
     return build_subset(fx.qa_items(t), fx.spans(t), SubsetOptions(rules=QUERY_RULES, policy=policy),
                         materialize=materialize)

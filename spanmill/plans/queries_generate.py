@@ -69,7 +69,7 @@ SELECT i.*, v.is_valid FROM instr i JOIN parsed p USING (ord, block) LEFT JOIN v
 
 
 def _instructions(spark, sf_dir, target=None, materialize=False, t=None):
-    sub = _subset(spark, sf_dir, materialize=materialize, t=t).rows
+    sub = _subset(spark, sf_dir, t=t).rows
     return build_instructions(sub, fx.responses(sub), GenerateOptions(target_count=target),
                               materialize=materialize)
 

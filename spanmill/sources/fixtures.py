@@ -46,13 +46,16 @@ def _sentences_long(t: Tables) -> DataFrame:
     return d.select("doc_id", F.inline("sents"))
 
 
-def _questions(t: Tables) -> DataFrame:
+def _question_pairs(t: Tables) -> DataFrame:
     c = t.conversations
     user = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
     reply = c.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
-    pairs = user.join(reply, ["conv_id", "turn"])
-    return with_row_number(pairs, ["conv_id", "turn"], "k")
+    return user.join(reply, ["conv_id", "turn"])
+
+
+def _questions(t: Tables) -> DataFrame:
+    return with_row_number(_question_pairs(t), ["conv_id", "turn"], "k")
 
 
 def _negative_texts(t: Tables, shifts=(1, 2, 3)) -> DataFrame:
@@ -76,7 +79,7 @@ def _qa_flat(t: Tables) -> DataFrame:
     """One row per document: ord, doc_id, lang, source, text, question, answer,
     answer_start."""
     q = questions(t)
-    n_q = scalar(q, F.count(F.lit(1)))
+    n_q = scalar(_question_pairs(t), F.count(F.lit(1)))
     # attach the question first (a shuffle of documents), then segment: the sentence
     # arrays are built after the join and never cross a shuffle
     d = (usable_documents(t).withColumn("k", F.pmod(F.col("doc_id"), n_q))
@@ -98,16 +101,18 @@ def _qa_flat(t: Tables) -> DataFrame:
 
 
 def _qa_items(t: Tables) -> DataFrame:
-    """Retrieval items in the nested model (question, answers, positive_ctxs,
-    hard_negative_ctxs) plus ``ord``."""
-    flat = qa_flat(t)
-    negs = negative_texts(t)
-    return flat.join(negs, "doc_id", "left").select(
-        "ord", "question",
-        F.array("answer").alias("answers"),
-        F.struct(F.array("source").alias("title"), F.array("text").alias("text")).alias("positive_ctxs"),
-        F.struct(F.coalesce("negs", F.array().cast("array<string>")).alias("text")).alias("hard_negative_ctxs"),
-    )
+    """Retrieval items in the nested model (question, answers, positive_ctxs) plus ``ord``;
+    ``items_with_negatives`` adds hard_negative_ctxs for the step that uses them."""
+    return qa_flat(t).select(
+        "ord", "question", F.array("answer").alias("answers"),
+        F.struct(F.array("source").alias("title"), F.array("text").alias("text")).alias("positive_ctxs"))
+
+
+def items_with_negatives(t: Tables) -> DataFrame:
+    negs = negative_texts(t).select(F.col("doc_id").alias("ord"), "negs")
+    return qa_items(t).join(negs, "ord", "left").select(
+        "ord", "question", "answers", "positive_ctxs",
+        F.struct(F.coalesce("negs", F.array().cast("array<string>")).alias("text")).alias("hard_negative_ctxs"))
 
 
 def _spans(t: Tables) -> DataFrame:
@@ -159,7 +164,7 @@ def negative_texts(t: Tables) -> DataFrame:
 
 
 def qa_items(t: Tables) -> DataFrame:
-    return t.view("qa_items", lambda: _qa_items(t), heavy=True)
+    return t.view("qa_items", lambda: _qa_items(t))
 
 
 def spans(t: Tables) -> DataFrame:

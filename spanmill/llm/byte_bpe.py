@@ -1,10 +1,11 @@
 """Byte-level BPE encoding and decoding from a rank file, with a hierarchical-bitmap rank queue.
 
 A pre-token is a linked list of parts. Each rank has a bucket of list positions whose part and
-its right neighbour merge at that rank, and a bitmap of three levels marks the ranks with a
-bucket. Finding the first set bit gives the next rank in constant time, the bucket gives the
-leftmost position, and entries whose parts have changed since are skipped. Every merge touches
-two neighbours, so a pre-token of n bytes takes about n steps, however long it is.
+its right neighbour merge at that rank. A bitmap in words of 256 bits marks the ranks with a
+bucket, a second level marks the words that are not zero; finding the first set bit of both gives
+the next rank in constant time. Its bucket is worked off from left to right, and entries whose
+parts have changed since are skipped. Every merge touches two neighbours, so a pre-token of n
+bytes takes about n steps, however long it is.
 
 A text is cut at single spaces, which never lie inside a pre-token unless white space follows;
 each distinct chunk is encoded once per Python worker (bounded cache)."""
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,60 +24,50 @@ import regex
 from pyspark.sql import DataFrame
 
 from .common import map_batches
+from .encoders import MARKS
 
 #: Chunks kept per worker; characters whose chunks are looked up together.
 CACHE_CHUNKS, GROUP_CHARS = 600_000, 4_000_000
 
 
 class RankQueue:
-    """Positions by rank, least rank first and leftmost position first within a rank."""
+    """Positions by rank; pop() gives the least rank's positions in ascending order."""
 
-    BITS = 6
+    BIT = [1 << i for i in range(256)]
 
     def __init__(self, ranks: int):
-        self.levels = []
-        n = ranks
-        while True:
-            n = (n + 63) >> self.BITS
-            self.levels.append([0] * n)
-            if n == 1:
-                break
+        self.words = [0] * ((ranks >> 8) + 1)
+        self.upper = 0
         self.buckets: dict[int, list[int]] = {}
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
         if bucket is not None:
-            heapq.heappush(bucket, position)
+            bucket.append(position)
             return
         self.buckets[rank] = [position]
-        at = rank
-        for level in self.levels:  # mark, up to a word that had a mark already
-            word, bit = at >> 6, 1 << (at & 63)
-            had = level[word]
-            level[word] = had | bit
-            if had:
-                return
-            at = word
-
-    def pop(self) -> tuple[int, int] | None:
-        at = 0
-        for level in reversed(self.levels):  # find the first set bit, top down
-            word = level[at]
-            if not word:
-                return None
-            at = at << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[at]
-        position = heapq.heappop(bucket)
-        if not bucket:
-            del self.buckets[at]
-            rank = at
-            for level in self.levels:  # unmark, up to a word that keeps a mark
-                word = rank >> 6
-                level[word] &= ~(1 << (rank & 63))
-                if level[word]:
-                    break
-                rank = word
-        return at, position
+        at = rank >> 8
+        word = self.words[at]
+        self.words[at] = word | self.BIT[rank & 255]
+        if not word:
+            self.upper |= 1 << at
+
+    def pop(self) -> tuple[int, list[int]] | None:
+        upper = self.upper
+        if not upper:
+            return None
+        first = upper & -upper
+        at = first.bit_length() - 1
+        word = self.words[at]
+        low = word & -word
+        self.words[at] = word ^ low
+        if word == low:
+            self.upper = upper ^ first
+        rank = at << 8 | low.bit_length() - 1
+        bucket = self.buckets.pop(rank)
+        if len(bucket) > 1:
+            bucket.sort()
+        return rank, bucket
 
 
 class Vocabulary:
@@ -93,30 +84,41 @@ class Vocabulary:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        ranks, queue, n = self.ranks, self.queue, len(piece)
+        rank_of, queue, n = self.ranks.get, self.queue, len(piece)
+        push = queue.push
         end = list(range(1, n + 1))  # the part at i is piece[i:end[i]]; end 0: merged away
         left = list(range(-1, n - 1))
         for i in range(n - 1):
-            rank = ranks.get(piece[i:i + 2])
+            rank = rank_of(piece[i:i + 2])
             if rank is not None:
-                queue.push(rank, i)
+                push(rank, i)
         while (top := queue.pop()) is not None:
-            rank, i = top
-            mid = end[i]
-            if not mid or mid >= n or ranks.get(piece[i:end[mid]]) != rank:
-                continue  # stale: one of the two parts has changed
-            stop = end[mid]
-            end[i], end[mid] = stop, 0
-            if stop < n:
-                left[stop] = i
-                after = ranks.get(piece[i:end[stop]])
-                if after is not None:
-                    queue.push(after, i)
-            before = left[i]
-            if before >= 0:
-                joined = ranks.get(piece[before:stop])
-                if joined is not None:
-                    queue.push(joined, before)
+            rank, bucket = top
+            for k, i in enumerate(bucket):
+                mid = end[i]
+                if not mid or mid >= n:
+                    continue  # stale: merged away, or the last part
+                stop = end[mid]
+                if rank_of(piece[i:stop]) != rank:
+                    continue  # stale: one of the two parts has changed
+                end[i], end[mid], lower = stop, 0, False
+                if stop < n:
+                    left[stop] = i
+                    after = rank_of(piece[i:end[stop]])
+                    if after is not None:
+                        push(after, i)
+                        lower = after < rank
+                before = left[i]
+                if before >= 0:
+                    joined = rank_of(piece[before:stop])
+                    if joined is not None:
+                        push(joined, before)
+                        lower = lower or joined < rank
+                if lower:  # a lesser rank has come up: it goes before the rest of the bucket
+                    for rest in bucket[k + 1:]:
+                        push(rank, rest)
+                    break
+        ranks = self.ranks
         out, i = [], 0
         while i < n:
             out.append(ranks[piece[i:end[i]]])
@@ -148,14 +150,24 @@ class TextEncoder:
         self.known: dict[str, bytes | None] = {}  # of " " + chunk
         self.words: dict[str, bytes] = {}  # of a pre-token
 
+    def _pieces(self, text: str) -> list[str]:
+        """The pattern's matches; a space, a word and marks need no search."""
+        if text[1:].isalpha() and text[0] == " ":
+            return [text]
+        core = text.rstrip(MARKS)
+        if text[:1] == " " and core[1:].isalpha():
+            return [core, text[len(core):]]
+        return self.vocab.pattern.findall(text)
+
     def _bytes(self, text: str) -> bytes:
         if len(self.words) > self.limit:
             self.words.clear()
         out = []
-        for piece in self.vocab.pattern.findall(text):
+        for piece in self._pieces(text):
             ids = self.words.get(piece)
             if ids is None:
-                ids = np.array(self.vocab.encode_piece(piece.encode("utf-8")), "<u4").tobytes()
+                merged = self.vocab.encode_piece(piece.encode("utf-8"))
+                ids = struct.pack(f"<{len(merged)}I", *merged)
                 if len(piece) < 64:
                     self.words[piece] = ids
             out.append(ids)

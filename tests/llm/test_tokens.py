@@ -48,11 +48,32 @@ def test_rank_queue_pops_in_order():
         item = (rnd.choice([0, 63, 64, 4095, 4096, 49_999, rnd.randrange(50_000)]), rnd.randrange(99))
         q.push(*item)
         want.append(item)
-    half = [q.pop() for _ in range(1500)]
-    assert half == sorted(want)[:1500]
+    got = []
+    while len(got) < 1500:
+        rank, bucket = q.pop()
+        got += [(rank, p) for p in bucket]
+    assert got == sorted(want)[:len(got)]
     q.push(5, 7)
-    assert [q.pop() for _ in range(1501)] == sorted(sorted(want)[1500:] + [(5, 7)])
-    assert q.pop() is None
+    rest = []
+    while (top := q.pop()) is not None:
+        rest += [(top[0], p) for p in top[1]]
+    assert rest == sorted(sorted(want)[len(got):] + [(5, 7)])
+
+
+def test_a_lesser_rank_that_comes_up_late_goes_first():
+    # merging "bc" makes "abc" possible, whose rank is less than that of "bc"
+    ranks = {bytes([c]): i for i, c in enumerate(b"abc")} | {b"abc": 3, b"bc": 4, b"ca": 5, b"abca": 6}
+    vocab = B.Vocabulary(ranks, r".+")
+    for text in (b"abcabc", b"abcbcabc", b"bcabcbc", b"cabcabcc"):
+        parts = [text[i:i + 1] for i in range(len(text))]
+        while True:  # the least rank, leftmost first
+            best = min(((ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks),
+                       default=None)
+            if best is None:
+                break
+            i = best[1]
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        assert vocab.encode_piece(text) == [ranks[p] for p in parts]
 
 
 def test_bpe_edge_texts(spark, docs, tik):

@@ -3,9 +3,13 @@
 Every rule rejects a document whose signal is above a cutoff. The candidate cutoffs are fixed
 beforehand, and for each stratum (language) labelled good documents tell how many of them a
 cutoff would reject. A cutoff may be used only if the exact binomial tail shows, at a level
-corrected for all strata, rules and candidates, that it rejects at most ``risk`` of the good
-documents. Among the certified cutoffs the one that finds most bad documents is taken, each
-good document lost counting as several; a rule that finds too few is left out.
+corrected for all strata and rules, that it rejects at most ``risk`` of the good documents. A
+rule's candidates are tested from the loosest on up to the first that fails, so they need no
+correction among themselves. Among the certified cutoffs the one that finds most bad documents
+is taken, each good document lost counting as several; a rule that finds too few is left out.
+
+A stratum with too few good documents to certify anything is served by the cutoffs certified
+on all strata together, but for those that lose too many of its own labelled documents.
 
 Everything is DataFrame functions: word windows are compared inside a row, so no text is
 shuffled, and what the calibration gathers are counts per stratum, rule and candidate."""
@@ -104,9 +108,9 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.exp(top + F.log(rest))
 
 
-def certified_cutoffs(labelled: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """labelled (stratum, good boolean, base_failed, RULES) -> (stratum, rule, cutoff, good,
-    good_lost, bad_found): the cutoff taken for each stratum and rule that has one.
+def _losses(labelled: DataFrame) -> DataFrame:
+    """labelled (stratum, good boolean, base_failed, RULES) -> stratum, rule, j (from 1), n, lost,
+    found: its good documents, and how many good and bad ones are above the j-th cutoff.
 
     Documents that the base rule rejects do not count: a cutoff neither loses nor finds them."""
     grid = F.array(*[F.lit(c) for c in CUTOFFS])
@@ -129,18 +133,57 @@ def certified_cutoffs(labelled: DataFrame, risk: float = RISK, error: float = ER
     summed = full.select(
         "stratum", "rule", "j", F.sum("good").over(whole).alias("n"),
         F.sum("good").over(above).alias("lost"), F.sum("bad").over(above).alias("found"))
-    strata = counts.agg(F.countDistinct("stratum")).scalar()
-    tests = strata * len(RULES) * len(CUTOFFS)
-    sure = (F.col("lost") < F.col("n") * risk) & (
-        binomial_tail(F.col("lost"), F.col("n"), risk) <= error / tests)
+    return summed.where("j > 0")
+
+
+def _certified(losses: DataFrame, tests: Column, risk: float, error: float) -> DataFrame:
+    """The cutoff taken for each stratum and rule of losses, tests sequences being tested.
+
+    A tighter cutoff loses at least as many, so its tail is no smaller: those that pass the
+    level are the ones in front of the first that fails."""
+    sure = binomial_tail(F.col("lost"), F.col("n"), risk) <= error / tests
     gain = F.col("found") - WORTH * F.col("lost")
     best = F.max(F.struct(gain.alias("gain"), "j", "n", "lost", "found"))
-    return (summed.where("j > 0")
-            .where(F.when(F.col("lost") < F.col("n") * risk, sure).otherwise(F.lit(False)))
+    return (losses.where(F.when(F.col("lost") < F.col("n") * risk, sure).otherwise(F.lit(False)))
             .groupBy("stratum", "rule").agg(best.alias("b")).where("b.gain > 0")
-            .select("stratum", "rule", F.get(grid, F.col("b.j") - 1).alias("cutoff"),
-                    F.col("b.n").alias("good"), F.col("b.lost").alias("good_lost"),
-                    F.col("b.found").alias("bad_found")))
+            .select("stratum", "rule", "b.j", F.col("b.n").alias("good"),
+                    F.col("b.lost").alias("good_lost"), F.col("b.found").alias("bad_found")))
+
+
+def _cutoff(j: Column) -> Column:
+    return F.get(F.array(*[F.lit(c) for c in CUTOFFS]), j - 1).alias("cutoff")
+
+
+def certified_cutoffs(labelled: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """labelled (stratum, good boolean, base_failed, RULES) -> (stratum, rule, cutoff, good,
+    good_lost, bad_found): the cutoff taken for each stratum and rule that has one of its own."""
+    losses = _losses(labelled)
+    tests = losses.agg(F.countDistinct("stratum")).scalar() * len(RULES)
+    return _certified(losses, tests, risk, error).select(
+        "stratum", "rule", _cutoff(F.col("j")), "good", "good_lost", "bad_found")
+
+
+def served_cutoffs(labelled: DataFrame, strata: DataFrame, risk: float = RISK,
+                   error: float = ERROR) -> DataFrame:
+    """labelled as before, strata (stratum): all that are to be judged -> stratum, rule, cutoff.
+
+    A stratum whose good documents could certify a cutoff has its own cutoffs or none. The
+    others, also those without any label, take the ones certified on all labelled documents
+    together, which count as one more stratum in the correction; a cutoff that loses more than
+    ``risk`` of a stratum's own good documents is not taken there."""
+    losses = written(_losses(labelled))  # a few hundred rows
+    tests = (losses.agg(F.countDistinct("stratum")).scalar() + 1) * len(RULES)
+    own = _certified(losses, tests, risk, error).select("stratum", "rule", "j")
+    pooled = _certified(
+        losses.groupBy(F.lit("").alias("stratum"), "rule", "j")
+        .agg(*[F.sum(c).alias(c) for c in ("n", "lost", "found")]), tests, risk, error)
+    rules = F.explode(F.array(*[F.lit(r) for r in RULES])).alias("rule")
+    few = F.pow(F.lit(1 - risk), F.col("n")) > error / tests
+    lent = (strata.select("stratum", rules).join(pooled.select("rule", "j"), "rule")
+            .join(losses.select("stratum", "rule", "j", "n", "lost"), ["stratum", "rule", "j"], "left")
+            .na.fill(0, ["n", "lost"])
+            .where(few & (F.col("lost") <= F.col("n") * risk)).select("stratum", "rule", "j"))
+    return own.unionByName(lent).select("stratum", "rule", _cutoff(F.col("j")))
 
 
 def _judge(signals: DataFrame, labels: DataFrame, doc_id: Column, lang: Column) -> DataFrame:
@@ -149,7 +192,8 @@ def _judge(signals: DataFrame, labels: DataFrame, doc_id: Column, lang: Column)
     marks = (labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_id"))
              .agg((F.min("quality") > 0).alias("good")))
     labelled = signals.select(doc_id.alias("_id"), "stratum", "base_failed", *RULES).join(marks, "_id")
-    cuts = certified_cutoffs(labelled).groupBy("stratum").agg(*[
+    strata = signals.select("stratum").distinct()
+    cuts = served_cutoffs(labelled, strata).groupBy("stratum").agg(*[
         F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"{r}_cutoff") for r in RULES])
     over = F.lit(False)
     for r in RULES:

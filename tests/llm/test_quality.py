@@ -109,6 +109,40 @@ def test_certified_cutoffs_against_brute_force(spark):
             assert ("en", "symbol_share") in got and ("en", "caps_share") not in got
 
 
+def test_candidates_share_no_correction_and_small_strata_are_served(spark):
+    def rows(stratum, good, bad, lost=0):
+        return ([(stratum, True, False, 0.06 if i < lost else 0.01) for i in range(good)]
+                + [(stratum, False, False, 0.07)] * bad)
+
+    # (1 - 0.004) ^ n <= 0.05 / (5 strata x 5 rules) from n = 1,551 on; over 14 candidates too 2,210
+    data = rows("en", 1600, 40) + rows("fr", 100, 6) + rows("de", 200, 5, 2) + rows("es", 0, 3)
+    table = spark.createDataFrame(
+        rows_of(data), "stratum string, good boolean, base_failed boolean, " + ", ".join(
+            f"{r} double" for r in Q.RULES))
+    strata = spark.createDataFrame([("en",), ("fr",), ("de",), ("es",), ("",)], "stratum string")
+    got = {(r.stratum, r.rule): r.cutoff for r in Q.served_cutoffs(table, strata).collect()}
+    # all together lose 2 of 1,900 at 0.05, which certifies nothing: 0.06 is the highest share
+    assert got == {("en", "symbol_share"): 0.05}
+    one = Q.served_cutoffs(table.where("stratum <> 'de'"), strata.where("stratum <> 'de'"))
+    assert {(r.stratum, r.rule): r.cutoff for r in one.collect()} == {
+        (s, "symbol_share"): 0.05 for s in ("en", "fr", "es", "")}
+    mixed = table.unionByName(spark.createDataFrame(rows_of(rows("it", 1600, 0)), table.schema))
+    lent = {r.stratum: r.cutoff for r in Q.served_cutoffs(mixed, strata).collect()}
+    assert lent == {"en": 0.05, "fr": 0.05, "es": 0.05, "": 0.05}  # de loses 1 % of its own, it finds none
+
+
+def rows_of(data):
+    return [(s, g, b, x, 0.0, 0.0, 0.0, 0.0) for s, g, b, x in data]
+
+
+def test_judge_uses_the_cutoffs(spark, docs):
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, f"{words} x{i}" if i < 1700 else f"{words} {'#' * 30} x{i}") for i in range(1760)]
+    labels = labels_of(spark, [(i, int(i < 1700), 0) for i in range(1740)])
+    kept = {r.doc_id for r in Q.judge(docs(rows), labels).where("kept").collect()}
+    assert kept == set(range(1700))
+
+
 def test_whole_table(spark, sf_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = QUERIES["op4_quality_rules"](spark, sf_dir).collect()

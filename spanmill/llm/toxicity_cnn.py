@@ -3,12 +3,13 @@
 A word's vector is the sum of two rows under independent hashes of the word and one under a
 hash of its prefix, so unseen words share little by chance and inflections share much. Filters
 of several widths slide over a text; each filter's maximum over the whole text goes into a
-logistic unit. The cutoff that separates the classes best is found for each language on rows
-held back from the fit and moved to 0.7; a text's language is guessed from its own function
-words, as the score must follow from the text alone.
+logistic unit. The cutoff that separates the classes best is found for each language on all
+learnable labelled rows that the fit has not seen and moved to 0.7; a text's language is guessed
+from its own function words, as the score must follow from the text alone.
 
 The fit takes a bounded sample of labelled rows (SAMPLE of each label, texts of up to
-SAMPLE_WORDS words); scoring takes every whole text."""
+SAMPLE_WORDS words); calibration takes every other labelled row and scoring every row, both with
+the whole text."""
 
 from __future__ import annotations
 
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, ship
+from .common import map_batches, ship, written
 
 #: Labelled rows of each label in the fit, and the longest text among them, in words.
 SAMPLE, SAMPLE_WORDS = 4000, 4000
@@ -32,6 +33,8 @@ EPOCHS, BATCH, RATE, PREFIX = 4, 32, 0.05, 5
 CUTOFF = 0.7
 #: Toxic rows of a language below which the common cutoff serves it.
 LEAST_ROWS = 15
+#: Logits are counted in steps of 1 / STEPS, up to LIMIT on either side.
+STEPS, LIMIT = 256, 30
 #: Words remembered by a Python worker; characters of a text that are read at a time.
 KNOWN_WORDS, BLOCK = 300_000, 2_000_000
 #: Common function words, for guessing a text's language.
@@ -71,7 +74,7 @@ def guess_language(counts: dict[str, int]) -> str:
 
 
 class Model:
-    """Parameters after the fit. score(text) is the whole use of it."""
+    """Parameters after the fit and the calibration."""
 
     def __init__(self, tables, filters, bias, out, out_bias, shift):
         self.tables, self.filters, self.bias = tables, filters, bias
@@ -79,6 +82,17 @@ class Model:
 
     def scorer(self):
         """A function text -> score that remembers the words it has met."""
+        logit = self.logits()
+
+        def score(text: str | None) -> float:
+            z, lang = logit(text)
+            z += self.shift.get(lang, self.shift[""])
+            return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+
+        return score
+
+    def logits(self):
+        """A function text -> logit without shift, guessed language."""
         # column blocks: one for each place within each filter width
         places = [w[k] for w in self.filters for k in range(len(w))]
         project = np.concatenate(places, axis=1).astype(np.float32)
@@ -101,7 +115,7 @@ class Model:
 
         learn(function)  # the first rows
 
-        def score(text: str | None) -> float:
+        def logit(text: str | None) -> tuple[float, str]:
             top = np.full((len(WIDTHS), FILTERS), -np.inf, np.float32)
             seen = np.zeros(len(function), np.int64)
             for words, repeated, last in _blocks(text or ""):
@@ -127,10 +141,9 @@ class Model:
                 seen += np.bincount(mine[mine < len(function)], minlength=len(function))
             features = np.maximum(np.where(np.isfinite(top), top, 0) + self.bias, 0).ravel()
             lang = guess_language(dict(zip(function, seen.tolist())))
-            z = float(features @ self.out + self.out_bias) + self.shift.get(lang, self.shift[""])
-            return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+            return float(features @ self.out + self.out_bias), lang
 
-        return score
+        return logit
 
 
 def _forward(tables, filters, bias, x_ids):
@@ -146,14 +159,19 @@ def _forward(tables, filters, bias, x_ids):
     return x, np.stack(tops) + bias, args
 
 
+def fitted(place: int) -> bool:
+    """Whether the row at a place of the sample enters the fit."""
+    return place % 3 != 0
+
+
 def fit(rows: list[tuple[np.ndarray, int, str]], seed: int = 7) -> Model:
     """rows: (table rows of the words, one line each; label; guessed language).
 
-    A third of the rows calibrates the cutoffs, the others are fitted. With no rows of one
-    label every score is one half."""
+    A third of the rows is held back (see fitted()) and calibrates the cutoffs, the others are
+    fitted. With no rows of one label every score is one half."""
     rng = np.random.default_rng(seed)
     rows = [r for r in rows if len(r[0])]
-    train, hold = [r for i, r in enumerate(rows) if i % 3], rows[::3]
+    train, hold = [r for i, r in enumerate(rows) if fitted(i)], rows[::3]
     labels = np.array([y for _, y, _ in train], np.int64)
     tables = [np.zeros((BUCKETS, DIM), np.float32) for _ in range(3)]  # unmet rows stay zero
     filters = [rng.normal(0, 0.3, (w, DIM, FILTERS)).astype(np.float32) for w in WIDTHS]
@@ -220,34 +238,44 @@ def fit(rows: list[tuple[np.ndarray, int, str]], seed: int = 7) -> Model:
 
 
 def _shifts(model: Model, rows) -> dict[str, float]:
-    """By language, what to add to a logit so that its best cutoff comes to lie at CUTOFF.
+    """shifts_of() the given rows of fit()."""
+    counts: dict[tuple[str, int, int], int] = {}
+    for ids, label, lang in rows:
+        tops = _forward(model.tables, model.filters, model.bias, ids)[1]
+        z = float(np.maximum(tops, 0).ravel() @ model.out + model.out_bias)
+        at = lang, _step(z), int(label)
+        counts[at] = counts.get(at, 0) + 1
+    return shifts_of([(*k, n) for k, n in counts.items()])
+
+
+def _step(z: float) -> int:
+    return int(np.floor(min(max(z, -LIMIT), LIMIT) * STEPS))
+
+
+def shifts_of(counts: list[tuple[str, int, int, int]]) -> dict[str, float]:
+    """counts (language, step of the logit, label, rows) -> by language, what to add to a logit
+    so that its best cutoff comes to lie at CUTOFF.
 
     Best: most toxic rows found, a clean one taken for toxic counting three times as a share;
     among equals the middle of the widest gap."""
-    z = np.array([np.maximum(_forward(model.tables, model.filters, model.bias, ids)[1], 0).ravel()
-                  @ model.out + model.out_bias for ids, _, _ in rows])
-    y = np.array([label for _, label, _ in rows])
-    lang = np.array([where for _, _, where in rows])
-
-    def best(mine: np.ndarray) -> float:
-        zs, ys = z[mine], y[mine]
-        order = np.argsort(-zs, kind="stable")
-        found = np.cumsum(ys[order]) / max(ys.sum(), 1)
-        wrong = np.cumsum(1 - ys[order]) / max((1 - ys).sum(), 1)
-        gain = found - 3 * wrong
+    def best(mine: dict[int, list[int]]) -> float:
+        steps = sorted(mine, reverse=True)
+        clean, toxic = np.array([mine[k] for k in steps], np.int64).T
+        gain = np.cumsum(toxic) / toxic.sum() - 3 * (np.cumsum(clean) / clean.sum())
         k = np.flatnonzero(gain >= gain.max() - 1e-12)[-1]
-        below = zs[order][k + 1] if k + 1 < len(order) else zs[order][k] - 1
-        return float((zs[order][k] + below) / 2)
+        below = steps[k + 1] if k + 1 < len(steps) else steps[k] - STEPS
+        return (steps[k] + below + 1) / 2 / STEPS  # between the middles of the two steps
 
+    found: dict[str, dict[int, list[int]]] = {"": {}}
+    for lang, step, label, n in counts:
+        for k in {"", lang}:
+            found.setdefault(k, {}).setdefault(step, [0, 0])[label] += n
     goal = float(np.log(CUTOFF / (1 - CUTOFF)))
-    everywhere = np.ones(len(y), bool)
-    if not y.any() or y.all():
-        return {"": 0.0}
-    shift = {"": goal - best(everywhere)}
-    for k in sorted(set(lang.tolist()) - {""}):
-        mine = lang == k
-        if y[mine].sum() >= LEAST_ROWS and (1 - y[mine]).sum() >= LEAST_ROWS:
-            shift[k] = goal - best(mine)
+    shift = {"": 0.0}
+    for k in sorted(found):
+        rows = np.array(list(found[k].values()), np.int64).reshape(-1, 2).sum(0)
+        if rows.min() >= (LEAST_ROWS if k else 1):
+            shift[k] = goal - best(found[k])
     return shift
 
 
@@ -256,11 +284,15 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame) -> list[tuple[np.ndarray, int, str]]:
-    """The rows for fit(): the first SAMPLE of each label by a hash of the id."""
-    marks = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
-             .groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_toxic"))
-             .where(~held_out(F.col("_id"))))
+def learnable(labels: DataFrame) -> DataFrame:
+    """labels -> _id, _toxic: a row for each labelled document that may be learned from."""
+    return (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+            .groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_toxic"))
+            .where(~held_out(F.col("_id"))))
+
+
+def labelled_sample(docs: DataFrame, marks: DataFrame) -> list[tuple[int, tuple[np.ndarray, int, str]]]:
+    """Ids and rows for fit(): the first SAMPLE of each label by a hash of the id."""
     first = None
     for y in (0, 1):
         part = marks.where(F.col("_toxic") == y).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE)
@@ -287,28 +319,60 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> list[tuple[np.ndarray
 
     found = map_batches(texts, rows, "id long, ids binary, y int, lang string").collect()
     found.sort(key=lambda r: (zlib.crc32(str(r.id).encode(), 99), r.id, bytes(r.ids)))
-    return [(np.frombuffer(bytes(r.ids), "<i4").reshape(-1, 3), r.y, r.lang) for r in found]
-
-
-def train(docs: DataFrame, labels: DataFrame) -> Model:
-    return fit(labelled_sample(docs, labels))
+    return [(r.id, (np.frombuffer(bytes(r.ids), "<i4").reshape(-1, 3), r.y, r.lang)) for r in found]
 
 
-def score_column(docs: DataFrame, model: Model, text: str = "text") -> Column:
-    """The score of each whole text as a column; the model's size does not depend on data."""
+def logit_column(docs: DataFrame, model: Model, text: str = "text") -> Column:
+    """Logit without shift (z) and guessed language (lang) of each whole text as a column; the
+    model's size does not depend on data."""
     spark = docs.sparkSession
     ship(spark)
     sent = spark.sparkContext.broadcast(model)
 
-    def scores(batches):
-        score = sent.value.scorer()
+    def logits(batches):
+        logit = sent.value.logits()
         for texts in batches:
-            yield pa.array([score(t.as_py()) for t in texts], pa.float64())
+            z, lang = zip(*(logit(t.as_py()) for t in texts)) if len(texts) else ((), ())
+            yield pa.StructArray.from_arrays(
+                [pa.array(z, pa.float64()), pa.array(lang, pa.string())], ["z", "lang"])
 
     from collections.abc import Iterator
 
-    scores.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(scores, "double")(F.col(text))
+    logits.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(logits, "z double, lang string")(F.col(text))
+
+
+def with_scores(rows: DataFrame, docs: DataFrame, labels: DataFrame, doc_id: Column) -> DataFrame:
+    """rows (text and others, among them doc_id), one per row of docs, with score for text.
+
+    Texts are read through the classifier once. The logits are written, all labelled rows
+    outside the fit choose the cutoffs from them, and no text is shuffled for it."""
+    marks = learnable(labels)
+    sample = labelled_sample(docs, marks)
+    model = fit([row for _, row in sample])
+    rows = written(rows.withColumn("_l", logit_column(rows, model)).drop("text"))
+    if model.out.any():  # else there was nothing to fit
+        counts = calibration_counts(rows.select(doc_id.alias("_id"), "_l"), marks, sample)
+        if {y for _, _, y, _ in counts} == {0, 1}:
+            model.shift = shifts_of(counts)
+    shifts = F.create_map(*[F.lit(x) for kv in model.shift.items() for x in kv])
+    z = F.col("_l.z") + F.coalesce(F.try_element_at(shifts, F.col("_l.lang")), F.lit(model.shift[""]))
+    clipped = F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))
+    return rows.withColumn("score", 1 / (1 + F.exp(-clipped))).drop("_l")
+
+
+def calibration_counts(logits: DataFrame, marks: DataFrame,
+                       sample: list) -> list[tuple[str, int, int, int]]:
+    """logits (_id, _l) -> the counts for shifts_of() over all rows that marks name and the fit
+    has not seen. What is gathered is bounded by languages, steps and labels."""
+    seen = logits.sparkSession.createDataFrame(
+        sorted({(i,) for k, (i, _) in enumerate(sample) if fitted(k)}), "_id long")
+    others = (marks.where(F.col("_toxic").isin(0, 1))
+              .join(F.broadcast(seen), "_id", "left_anti"))  # 2 * SAMPLE ids at most
+    step = F.floor(F.greatest(F.least("_l.z", F.lit(float(LIMIT))), F.lit(float(-LIMIT))) * STEPS)
+    found = (logits.join(others, "_id")
+             .groupBy(F.col("_l.lang").alias("lang"), step.alias("step"), "_toxic").count())
+    return [tuple(r) for r in found.collect()]
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -318,14 +382,13 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts are scored like a text without words. Labels are combined by maximum
     when repeated; labels that are null, held out or of no document are not learned from. Too
     few labels give the score one half, an empty table gives no rows."""
-    model = train(docs, labels)
-    return docs.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
-                       score_column(docs, model).alias("score"))
+    found = with_scores(docs.select("doc_id", "text"), docs, labels, F.col("doc_id"))
+    return found.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+                        "score")
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs scored below CUTOFF, with all their columns."""
-    model = train(docs, labels)
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["text"])
-    return (packed.select("doc", score_column(packed, model).alias("score"))
-            .where(F.col("score") < CUTOFF).select("doc.*"))
+    found = with_scores(packed, docs, labels, F.col("doc.doc_id"))
+    return found.where(F.col("score") < CUTOFF).select("doc.*")

@@ -99,6 +99,48 @@ def test_edge_rows(spark, docs):
     assert {r.score for r in none} == {0.5} and T.scored(docs([]), marks).count() == 0
 
 
+def test_cutoffs_follow_all_labelled_rows(spark, docs, monkeypatch):
+    """Languages and texts beyond the sample calibrate too, and no row of the fit does."""
+    rows = [(i, t) for i, t, _, _ in corpus(900, 5)]
+    labels = [(i, 1, y) for i, _, _, y in corpus(900, 5)]
+    long_text = "the of and river stone " * 40
+    rows += [(2000 + i, long_text + ("scum" if i % 2 else "")) for i in range(60)]
+    labels += [(2000 + i, 1, i % 2) for i in range(60)]
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(T, "SAMPLE", 60)
+    monkeypatch.setattr(T, "SAMPLE_WORDS", 120)
+    table, seen = docs(rows), []
+    shifts_of = T.shifts_of
+    monkeypatch.setattr(T, "shifts_of", lambda counts: seen.append(counts) or shifts_of(counts))
+    scores = T.scored(table, marks).collect()
+    sample = T.labelled_sample(table, T.learnable(marks))
+    model = T.fit([row for _, row in sample])
+    used = {i for k, (i, _) in enumerate(sample) if T.fitted(k)}
+    logit, texts, want = model.logits(), dict(rows), {}
+    for i, _, y in labels:
+        if zlib.crc32(str(i).encode()) % 3 != 1 and i not in used:
+            z, lang = logit(texts[i])
+            want[lang, y] = want.get((lang, y), 0) + 1
+    got = {}  # seen: the sample's third, all rows, and the third again by the fit above
+    for lang, _, y, n in seen[1]:
+        got[lang, y] = got.get((lang, y), 0) + n
+    assert got == want and sum(want.values()) > 400  # the sample's third has at most 40
+    # 120 rows of the sample, a third of them held back, leave no 15 toxic rows to German
+    assert "de" not in shifts_of(seen[-1]) and want["de", 1] >= T.LEAST_ROWS
+    model.shift = shifts_of(seen[1])
+    assert set(model.shift) >= {"", "en", "de"}
+    score = model.scorer()
+    assert np.allclose([r.score for r in scores], [score(texts[r.doc_id]) for r in scores], atol=1e-5)
+
+
+def test_shifts_of_counts():
+    goal = np.log(T.CUTOFF / (1 - T.CUTOFF))
+    got = T.shifts_of([("en", 512, 1, 20), ("en", 0, 0, 30), ("de", 256, 1, 14), ("de", -256, 0, 99)])
+    assert set(got) == {"", "en"}  # too few toxic rows of German
+    assert abs(got["en"] - (goal - (256 + 0.5) / T.STEPS)) < 1e-12
+    assert T.shifts_of([("en", 3, 1, 20)]) == {"": 0.0} == T.shifts_of([])
+
+
 def test_whole_table(spark):
     sf = "/root/testdata/sf0.01"
     got = QUERIES["op7_toxicity_cnn"](spark, sf).join(

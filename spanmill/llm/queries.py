@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 import public_tokenizers
 
-from . import (bin_completion, byte_bpe, chat_masks, quality_rules, simhash_dedup, token_store,
-               toxicity_cnn, url_cascade, weak_pii, weighted_fingerprints)
+from . import (bin_completion, byte_bpe, chat_masks, phrase_mining, quality_rules, simhash_dedup,
+               token_store, toxicity_cnn, url_cascade, weak_pii, weighted_fingerprints)
 from .common import table
 from .encoders import crc32_wide
 
@@ -128,3 +128,42 @@ FROM split LEFT JOIN fits USING (page_id)
 @query
 def op6_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_mining.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_phrase_mining"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2),
+    lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM words, range(1, 6) AS t(m) WHERE len(w) >= m),
+freq AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY lang, m, phrase
+  HAVING count(*) >= 100),
+cuts AS (
+  SELECT lang, m, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+    array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS rest
+  FROM freq, range(1, 5) AS t(k) WHERE k < m),
+scored AS (
+  SELECT c.lang, c.m, c.phrase, a, k, h.f AS l, r.f AS r, n,
+    (1000::HUGEINT * a::HUGEINT * n::HUGEINT) // (h.f::HUGEINT * r.f::HUGEINT) AS score
+  FROM cuts c JOIN freq h ON h.lang = c.lang AND h.phrase = c.head
+    JOIN freq r ON r.lang = c.lang AND r.phrase = c.rest JOIN sizes s ON s.lang = c.lang),
+best AS (SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM freq o WHERE o.lang = b.lang AND o.f = b.a AND o.m > b.m
+      AND contains(' ' || o.phrase || ' ', ' ' || b.phrase || ' '))),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang
+  ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+"""

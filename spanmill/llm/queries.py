@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 import public_tokenizers
 
-from . import (bin_completion, byte_bpe, chat_masks, phrase_mining, quality_rules, simhash_dedup,
-               token_store, toxicity_cnn, url_cascade, weak_pii, weighted_fingerprints)
+from . import (bin_completion, byte_bpe, chat_masks, phrase_mining, prefix_trie, quality_rules,
+               simhash_dedup, token_store, toxicity_cnn, url_cascade, weak_pii,
+               weighted_fingerprints)
 from .common import table
 from .encoders import crc32_wide
 
@@ -167,3 +168,49 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang
   ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
 """
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op13_prefix_trie"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, strlen(coalesce(text, '')) AS bytes, sha256(concat(
+    strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS dig
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({'dig': dig, 'bytes': bytes} ORDER BY turn NULLS FIRST, dig) AS t,
+    xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(range(1, len(conv_id::VARCHAR) + 1),
+      lambda i: [ord(substr(conv_id::VARCHAR, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384)
+        ELSE a // 2 END), 4294967295) % 9 AS h
+  FROM turns GROUP BY conv_id),
+rebuilt AS (
+  SELECT c.conv_id, coalesce(b.t, [])[1:c.h] || c.t[c.h + 1:] AS t
+  FROM own c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5),
+paths AS (
+  SELECT conv_id, d AS depth, len(t) AS total, CASE WHEN d > 0 THEN t[d].bytes ELSE 0 END AS bytes,
+    sha256(array_to_string(list_transform(t[1:d], lambda x: x.dig), ',')) AS key
+  FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT depth, key, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+      FILTER (WHERE total = depth), '')) AS ends_sha256
+  FROM paths GROUP BY depth, key),
+up AS (SELECT n.*, p.key AS parent FROM nodes n LEFT JOIN paths p
+  ON p.conv_id = n.conv_id AND p.depth = n.depth - 1),
+kids AS (SELECT parent, depth - 1 AS depth, count(*) AS n_children FROM up
+  WHERE parent IS NOT NULL GROUP BY 1, 2),
+full_nodes AS (SELECT u.*, coalesce(k.n_children, 0) AS n_children
+  FROM up u LEFT JOIN kids k ON k.parent = u.key AND k.depth = u.depth),
+sums AS (
+  SELECT p.depth, p.key, sum(CASE WHEN n.n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves,
+    sum((n.n_convs - 1) * n.bytes)::BIGINT AS saved_tokens
+  FROM full_nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY 1, 2)
+SELECT n.conv_id, n.depth, o.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves,
+  s.saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums s USING (depth, key)
+LEFT JOIN nodes o ON o.key = n.parent AND o.depth = n.depth - 1
+"""

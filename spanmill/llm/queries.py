@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from . import (bin_completion, byte_bpe, chat_masks, phrase_mining, prefix_trie, quality_rules,
-               simhash_dedup, token_store, toxicity_cnn, url_cascade, weak_pii,
+               secret_crf, simhash_dedup, token_store, toxicity_cnn, url_cascade, weak_pii,
                weighted_fingerprints)
 from .common import table
 from .encoders import crc32_wide
@@ -131,6 +131,17 @@ def op6_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_secret_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_crf.find(table(spark, sf_dir, "documents"))
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, secret_crf.BASE),
+                        F.sha2(secret_crf.digest(F.col("spans"), True), 256).alias("base_sha256"),
+                        secret_crf.digest(F.col("spans")).alias("spans"), count("crf"))
+
+
 @query
 def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_mining.collocations(table(spark, sf_dir, "documents"))

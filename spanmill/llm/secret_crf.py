@@ -38,8 +38,9 @@ ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]{14,}"), re.compile(r"[0-9a-f]{16,}")
 #: What the training windows are found by, for the engine.
 LIKELY = (r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{14}|"
           r"[0-9a-f]{16}")
-#: Windows of each kind in the fit, copies of one with a secret, characters before and after.
-SAMPLE, COPIES, BEFORE, AFTER = 800, 4, 160, 60
+#: Windows of each kind in the fit, characters before and after a secret; fewest and most copies of
+#: a window with a secret, and how many such copies there should be in all.
+SAMPLE, BEFORE, AFTER, COPIES, COPIED = 800, 160, 60, (4, 24), 4000
 BUCKETS, EPOCHS, BATCH, RATE, DECAY, TOKENS = 1 << 16, 4, 32, 0.2, 1e-5, 96
 #: Tokens remembered by a Python worker; characters of a text that are read at a time.
 KNOWN, BLOCK = 200_000, 1_000_000
@@ -161,7 +162,7 @@ def _number(r: random.Random) -> str:
     return r.choice(".- ").join("".join(r.choice(_DIGIT) for _ in range(n)) for n in sizes)
 
 
-def _windows(text: str, spans: list[tuple[int, int]], key: int | None):
+def _windows(text: str, spans: list[tuple[int, int]], key: int | None, copies: int):
     """A window as it is and its copies: (text, secrets). key is where its key word starts."""
     yield text, spans
     if key is None or len(spans) != 1:
@@ -169,7 +170,7 @@ def _windows(text: str, spans: list[tuple[int, int]], key: int | None):
     (a, z), r = spans[0], random.Random(zlib.crc32(text.encode("utf-8", "surrogatepass")))
     plain = [w for w in re.findall(r"[^\W\d_]{2,}", text[:key])] or ["value"]
     tail = text[z + (text[z:z + 1] in "\"'"):]
-    for c in range(COPIES):
+    for c in range(copies):
         join, name = r.choice(JOINS), r.choice(NAMES)
         name = r.choice((name, name.upper(), name.capitalize()))
         secret = c % 4 != 3  # every fourth copy has a plain word where the secret was
@@ -178,7 +179,7 @@ def _windows(text: str, spans: list[tuple[int, int]], key: int | None):
         at = key + len(name) + len(join)
         yield (text[:key] + name + join + value + quote + tail,
                [(at, at + len(value))] if secret else [])
-    for _ in range(2):
+    for _ in range(copies // 2):
         yield (text[:key] + " ".join(r.choice(plain) for _ in range(3)) + r.choice((" ", ": ", " = "))
                + _number(r) + tail, [])
 
@@ -310,14 +311,16 @@ def train(docs: DataFrame, limit: int = SAMPLE) -> Field | None:
     """The field fitted on at most ``limit`` windows with a base span and as many without, or
     None if no text has a base span that tells anything."""
     rows = _training_rows(docs, limit)
+    named = sum(r.key is not None for r in rows)
     if not any(r.secret for r in rows):
         return None
+    copies = min(max(COPIED // max(named, 1), COPIES[0]), COPIES[1])
     sequences = []
     for r in rows:
         half = len(r.facts) // 2
         whole = list(r.facts[:half]), list(r.facts[half:])
         spans = [(r.start, r.end)] if r.secret else []
-        sequences += [_sequence(t, s, whole) for t, s in _windows(r.text, spans, r.key)]
+        sequences += [_sequence(t, s, whole) for t, s in _windows(r.text, spans, r.key, copies)]
     return Field().fit(sequences)
 
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,12 +42,15 @@ LIKELY = (r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-
 #: Windows of each kind in the fit, characters before and after a secret; fewest and most copies of
 #: a window with a secret, and how many such copies there should be in all.
 SAMPLE, BEFORE, AFTER, COPIES, COPIED = 800, 160, 60, (4, 24), 4000
+#: Windows' tokens of a name that make it a feature.
+LEAST = 3
 BUCKETS, EPOCHS, BATCH, RATE, DECAY, TOKENS = 1 << 16, 4, 32, 0.2, 1e-5, 96
 #: Tokens remembered by a Python worker; characters of a text that are read at a time.
-KNOWN, BLOCK = 200_000, 1_000_000
+KNOWN, BLOCK = 400_000, 500_000
 #: Neighbours whose identity is a feature.
 AROUND = (-4, -3, -2, -1, 1)
 OUT, BEGIN, IN = 0, 1, 2
+_HEX_BYTES = np.isin(np.arange(256), list(b"0123456789abcdef"))
 _TOKEN = re.compile(r"\s*(?:[^\W_]+|[^\w\s]|_)")
 #: Key words and separators that copies of a window use.
 NAMES = ["password", "passwd", "secret", "token", "api_key", "apikey", "pwd", "pass", "auth",
@@ -58,11 +62,24 @@ ALPHABETS = ["0123456789abcdef", "0123456789ABCDEF", _UPPER + _DIGIT, _LOWER + _
              _UPPER + _LOWER + _DIGIT + "-_", _UPPER + _LOWER + _DIGIT + "!@#$%"]
 
 
+def _may_hold_hex(text: str) -> bool:
+    """Whether 16 of HEX's characters stand side by side, by doubling the length tested."""
+    run = _HEX_BYTES[np.frombuffer(text.encode("latin-1", "replace"), np.uint8)]
+    for step in (1, 2, 4, 8):
+        run = run[:-step] & run[step:]
+    return bool(run.any())
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of the fixed patterns' matches, sorted."""
-    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12]
-    found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
-    found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+    """(start, kind, end) of the fixed patterns' matches, sorted. Each pattern has a cheap test
+    that no text it matches fails."""
+    found = []
+    if "=" in text or ":" in text:
+        found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12]
+    if "AKIA" in text:
+        found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
+    if len(text) > 15 and _may_hold_hex(text):
+        found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     return sorted(found)
 
 
@@ -89,36 +106,52 @@ def _hash(*parts: object) -> int:
     return 1 + zlib.crc32(" ".join(map(str, parts)).encode("utf-8", "surrogatepass")) % (BUCKETS - 1)
 
 
-def token_features(token: str) -> tuple[list[int], list[list[int]], int]:
-    """Feature numbers of a token: its own, those it gives a token at each place AROUND, and
-    whether it is unusual (1: digits with letters, or long)."""
+def token_class(token: str) -> tuple[str, tuple]:
+    """A token's name (what its neighbours may go by) and its class (what it looks like)."""
     core = token.lstrip()
-    lead = token[:len(token) - len(core)]
-    low, n = core[:40].lower(), len(core)
-    shape, size = _shape(core), _bucket(min(n, 512))
+    n = len(core)
+    space = "-" if n == len(token) else "s" if token[0] == " " else "n" if "\n" in token[:-n] else "s"
     alpha = core.isalpha()
-    space = "n" if "\n" in lead else "s" if lead else "-"
-    same = "hex" if not core.strip("0123456789abcdef") else "HEX" if not core.strip(
-        "0123456789ABCDEF") else "-"
-    vowels = sum(c in "aeiouyàáâäèéêëíîïóôöúûüAEIOUY" for c in core[:40]) * 5 // min(n, 40)
+    size = n if n < 8 else 5 + _bucket(min(n, 512))
+    if alpha and n < 12:  # most words
+        if core.islower():
+            return core, ("x", size, "-", space, -1, 0)
+        if core.istitle():
+            return core.lower(), ("Xx", size, "-", space, -1, 0)
+    shape, low, same = _shape(core), core[:40].lower(), "-"
+    if n > 7:
+        same = "hex" if not core.strip("0123456789abcdef") else "HEX" if not core.strip(
+            "0123456789ABCDEF") else "-"
+    vowels = sum(map(low.count, "aeiou")) * 5 // min(n, 40) if alpha and n > 11 else -1
     odd = int((not alpha and not core.isdigit() and n > 3) or n > 24)
-    name = low if alpha and n <= 16 or n == 1 else f"{shape}/{size}"
+    name = low if alpha and n <= 16 or n == 1 else ""
+    return name, (shape, size, same, space, vowels, odd)
+
+
+def class_features(kind: tuple) -> tuple[list[int], list[list[int]]]:
+    """Feature numbers of a token of this class: its own, and those it gives a token that has it
+    at each place AROUND."""
+    shape, size, same, space, vowels, odd = kind
     own = [_hash("b"), _hash("s", shape), _hash("n", size), _hash("sn", shape, size),
            _hash("h", same, size), _hash("l", space), _hash("ls", space, shape),
-           _hash("v", vowels if alpha else "-", size), _hash("w", name), _hash("o", odd, space)]
-    around = [[_hash("a", k, name), _hash("as", k, shape, size >= 5)] +
-              ([_hash("al", k, space)] if k == 1 else []) for k in AROUND]
-    return own, around, odd
+           _hash("v", vowels, size), _hash("o", odd, space)]
+    around = [[_hash("as", k, shape, size > 12)] + ([_hash("al", k, space)] if k == 1 else [])
+              for k in AROUND]
+    return own, around
+
+
+def name_features(name: str) -> tuple[list[int], list[list[int]]]:
+    """The same of a token's name."""
+    return [_hash("w", name)], [[_hash("a", k, name)] for k in AROUND]
 
 
 def file_features(text: str) -> tuple[list[int], list[int]]:
     """Feature numbers of a whole text, for usual and for unusual tokens."""
     n = max(len(text), 1)
-    facts = [("=", min(_bucket(text.count("=") * 2000 // n), 9)),
-             (":", min(_bucket(text.count(":") * 2000 // n), 9)),
-             ("{;", min(_bucket((text.count("{") + text.count(";")) * 2000 // n), 9)),
-             ("n", min(_bucket(text.count("\n") * 1000 // n), 9)),
-             ("0", min(_bucket(sum(map(text.count, "0123456789")) * 500 // n), 9))]
+    times = np.bincount(np.frombuffer(text.encode("latin-1", "replace"), np.uint8), minlength=256)
+    facts = [(name, min(_bucket(int(times[list(chars)].sum()) * scale // n), 9)) for name, chars, scale in (
+        ("=", b"=", 2000), (":", b":", 2000), ("{;", b"{;", 2000), ("n", b"\n", 1000),
+        ("0", b"0123456789", 500))]
     return ([_hash("f", *f, 0) for f in facts], [_hash("f", *f, 1) for f in facts])
 
 
@@ -127,14 +160,19 @@ def tokens_of(text: str) -> list[tuple[int, int, str]]:
     return [(m.end() - len(m.group().lstrip()), m.end(), m.group()) for m in _TOKEN.finditer(text)]
 
 
-def _sequence(text: str, spans: list[tuple[int, int]], whole: tuple[list[int], list[int]]):
+def _sequence(text: str, spans: list[tuple[int, int]], whole: tuple[list[int], list[int]],
+              names: set[str]):
     """Feature lists and tags of a window's tokens; spans are the secrets in it."""
     toks = tokens_of(text)[:TOKENS]
-    seen = [token_features(t) for _, _, t in toks]
+    seen = []
+    for _, _, token in toks:
+        name, kind = token_class(token)
+        own, around = class_features(kind)
+        more, beside = name_features(name if name in names else "")
+        seen.append((own + more + whole[kind[-1]], [x + y for x, y in zip(around, beside)]))
     rows, tags = [], []
     for i, (start, end, _) in enumerate(toks):
-        own, _, odd = seen[i]
-        feats = own + whole[odd]
+        feats = seen[i][0]
         for j, k in enumerate(AROUND):
             feats = feats + (seen[i + k][1][j] if 0 <= i + k < len(toks) else [_hash("edge", k)])
         tag = OUT
@@ -236,6 +274,7 @@ class Field:
     def __init__(self) -> None:
         self.w = np.zeros((BUCKETS, 3))
         self.t = np.zeros((3, 3))  # an outside tag stands before and behind every sequence
+        self.names: set[str] = set()  # names that are features; the others are one
 
     def log_likelihood(self, feats: np.ndarray, tags: np.ndarray, length: np.ndarray):
         """feats (b, n, f; 0 is none), tags (b, n), length (b) -> the batch's log likelihood, its
@@ -315,13 +354,16 @@ def train(docs: DataFrame, limit: int = SAMPLE) -> Field | None:
     if not any(r.secret for r in rows):
         return None
     copies = min(max(COPIED // max(named, 1), COPIES[0]), COPIES[1])
-    sequences = []
+    sequences, field = [], Field()
+    seen = Counter(token_class(t)[0] for r in rows for t in _TOKEN.findall(r.text))
+    field.names = {n for n, times in seen.items() if times >= LEAST} | set(
+        n.lower() for n in NAMES if n.isalpha())
     for r in rows:
         half = len(r.facts) // 2
         whole = list(r.facts[:half]), list(r.facts[half:])
         spans = [(r.start, r.end)] if r.secret else []
-        sequences += [_sequence(t, s, whole) for t, s in _windows(r.text, spans, r.key, copies)]
-    return Field().fit(sequences)
+        sequences += [_sequence(t, s, whole, field.names) for t, s in _windows(r.text, spans, r.key, copies)]
+    return field.fit(sequences)
 
 
 def viterbi(e: np.ndarray, t: np.ndarray) -> list[int]:
@@ -344,6 +386,16 @@ def viterbi(e: np.ndarray, t: np.ndarray) -> list[int]:
     return tags[::-1]
 
 
+class _Numbers(dict):
+    """Token -> its row; a new one is made by the given function."""
+
+    def __init__(self, make) -> None:
+        self.make = make
+
+    def __missing__(self, token: str) -> int:
+        return self.make(token)
+
+
 class Tagger:
     """Decoding with a fitted field; tokens seen before are looked up."""
 
@@ -356,28 +408,35 @@ class Tagger:
         self.slack = max(float(into.max() - into.min()), float(out.max() - out.min()),
                          float(into.max() + out.max()) - inner, 0.0)
         self.edge = np.array([self.w[_hash("edge", k)] for k in AROUND])
-        self.numbers: dict[str, int] = {}
-        self.table = np.zeros((1024, 1 + len(AROUND), 2))
-        self.odd = np.zeros(1024, np.int8)
+        self.numbers = _Numbers(self._number)
+        self.table = np.zeros((KNOWN, 1 + len(AROUND), 2))
+        self.odd = np.zeros(KNOWN, np.int8)
+        self.classes: dict[tuple, np.ndarray] = {}
+        self.named = {n: self._sums(name_features(n)) for n in ["", *sorted(field.names)]}
+
+    def _sums(self, feats: tuple[list[int], list[list[int]]]) -> np.ndarray:
+        return np.array([self.w[f].sum(0) for f in (feats[0], *feats[1])])
 
     def _number(self, token: str) -> int:
         n = self.numbers[token] = len(self.numbers)
         if n == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
             self.odd = np.concatenate([self.odd, np.zeros_like(self.odd)])
-        own, around, self.odd[n] = token_features(token)
-        self.table[n, 0] = self.w[own].sum(0)
-        for j, f in enumerate(around):
-            self.table[n, 1 + j] = self.w[f].sum(0)
+        name, kind = token_class(token)
+        if (row := self.classes.get(kind)) is None:
+            if len(self.classes) > KNOWN:
+                self.classes.clear()
+            row = self.classes[kind] = self._sums(class_features(kind))
+        named = self.named.get(name)
+        self.table[n] = row + (self.named[""] if named is None else named)
+        self.odd[n] = kind[-1]
         return n
 
     def emissions(self, tokens: list[str], whole: np.ndarray) -> np.ndarray:
         """(n, 2): begin and inside against outside. whole (2, 2) is the file's share."""
-        if len(self.numbers) > KNOWN:
+        if len(self.numbers) > KNOWN // 2:
             self.numbers.clear()
-        get, new = self.numbers.get, self._number
-        ids = np.fromiter((new(t) if (i := get(t)) is None else i for t in tokens), np.int64,
-                          len(tokens))
+        ids = np.fromiter(map(self.numbers.__getitem__, tokens), np.int64, len(tokens))
         parts = self.table[ids]
         e = parts[:, 0] + whole[self.odd[ids]]
         n = len(ids)
@@ -438,7 +497,6 @@ class Tagger:
             if not final:
                 seen = seen[:-1]  # the last one may be cut
             e = self.emissions(seen, whole) if seen else np.zeros((0, 2))
-            ends = np.cumsum([len(t) for t in seen]) if seen else np.zeros(0, np.int64)
             origin = at - sum(map(len, context))
             stop = len(seen)
             if not final:  # the last tokens lack a neighbour, and a region may go on
@@ -450,7 +508,9 @@ class Tagger:
                     size *= 2
                     continue
             first = len(context) if context else 0
-            for a, z in self.tags(e[first:stop]):
+            spans = self.tags(e[first:stop])
+            ends = np.cumsum([len(t) for t in seen]) if spans or not final else None
+            for a, z in spans:
                 a, z = a + first, z + first
                 core = len(seen[a].lstrip())
                 found.append((origin + int(ends[a]) - core, origin + int(ends[z - 1])))
@@ -496,7 +556,7 @@ def find(docs: DataFrame, field: Field | None = None) -> DataFrame:
     not reported again."""
     rows = docs.select("doc_id", "text")
     field = field or train(rows)
-    key = 0 if field is None else zlib.crc32(field.w.tobytes() + field.t.tobytes())
+    key = 0 if field is None else zlib.crc32(field.w.tobytes() + field.t.tobytes())  # a fit's mark
     shared = rows.sparkSession.sparkContext.broadcast(field)  # BUCKETS x 3 numbers
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

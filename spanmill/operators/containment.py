@@ -3,15 +3,17 @@
 Catalyst can only plan ``contains`` joins as nested loops. The **anchor join** is exact and its
 work follows the input: if needle ⊂ text, every *interior* token of the needle (not the first or
 the last part, which may be cut) is a whole token of the text, and consecutive interior tokens
-are consecutive text tokens. So each needle picks one interior run of up to 3 tokens (the longest
-in characters, a proxy for the rarest), the texts emit a hash for every distinct run of 1 and 3
-tokens, the two are equi-joined on (k, hash), and ``contains`` verifies the candidates. Hash
-collisions only add candidates; they never lose a pair.
+are consecutive text tokens. So each needle takes one interior run of 3 tokens (of 1, if it has
+fewer than 3) as its anchor: the rarest in the texts, by a frequency table of bounded size. Texts
+emit the hashes of their distinct runs of 1 and 3 tokens; those that no anchor can have end at a
+bucket filter in the same stage, the rest is equi-joined, and ``contains`` verifies the
+candidates. Hash collisions only add candidates; they never lose a pair.
 
 A needle without an interior token is found through the vocabulary: its longest run of letters
-and digits, or of other characters, lies inside one such run (a unit) of the text. Distinct units
-are matched to needles by a character n-gram, and units lead to texts. No side is ever limited in
-size; joins are left to the engine, which broadcasts what proves small and splits hot keys.
+and digits, or of other characters, lies inside one such run (a unit) of the text. Units that hold
+a needle's first characters leave the texts' stage; distinct ones are matched to needles, and lead
+to texts. No side is ever limited in size; joins are left to the engine, which broadcasts what
+proves small and splits hot keys.
 
 ``mode="broadcast"`` asks for a nested loop over broadcast needles; beyond a checked size the
 anchor join takes its place, with the same result.
@@ -24,6 +26,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sketches import bucket_filter, rarest
+
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 UNIT = r"[\p{L}\p{N}]+|[^\p{L}\p{N}]+"
 # the nested loop does |texts| x |needles| substring tests: only on request and when small
@@ -47,58 +51,58 @@ def nested_loop(hay: DataFrame, needles: DataFrame, hay_col: str, needle_col: st
     return hay.join(F.broadcast(needles), cond, "inner")
 
 
-def _needle_anchor(needles: DataFrame, needle_col: str) -> DataFrame:
-    d = _materialize(needles, "__tok", F.split(F.col(needle_col), TOKEN_SPLIT, -1))
-    d = _materialize(d, "__inner", F.expr("slice(__tok, 2, greatest(size(__tok) - 2, 0))"))
-    k = F.expr("least(size(__inner), 3)")
-    # candidate runs of length k over the interior tokens, pick the longest (first on ties)
-    runs = F.expr("""transform(sequence(0, size(__inner) - least(size(__inner), 3)),
-                  i -> named_struct('len', aggregate(slice(__inner, i + 1, least(size(__inner), 3)), 0,
-                                                      (a, x) -> a + length(x)),
-                                    'neg_i', -i,
-                                    'run', slice(__inner, i + 1, least(size(__inner), 3))))""")
-    d = d.withColumn("__k", F.when(k >= 3, F.lit(3)).when(k >= 1, F.lit(1)).otherwise(F.lit(0)))
-    best = F.when(F.col("__k") == 3, F.array_max(runs)["run"]).when(
-        F.col("__k") == 1, F.array(F.array_max(F.transform("__inner", lambda x: F.struct(
-            F.length(x).alias("len"), x.alias("w"))))["w"]))
-    return d.withColumn("__run", best).drop("__tok", "__inner")
+def _run_hash(run: str, k: int) -> str:
+    """Hash of the run of k tokens at __tok[i], element-wise (no string is built)."""
+    return f"xxhash64({k}, {', '.join(f'{run}[i + {j}]' for j in range(k))})"
 
 
-def _run_hash(run: Column, k: int) -> Column:
-    """Hash of a run of k tokens, element-wise (no string is built per position)."""
-    return F.xxhash64(*[run[j] for j in range(k)])
+def _needle_runs(needles: DataFrame, needle_id: str, needle_col: str) -> DataFrame:
+    """needle_id, h, len: the interior runs of each needle that may be its anchor. A needle
+    without an interior token has none."""
+    d = _materialize(needles.select(needle_id, needle_col), "__tok",
+                     F.split(F.col(needle_col), TOKEN_SPLIT, -1))
+    d = _materialize(d, "__tok", F.expr("slice(__tok, 2, greatest(size(__tok) - 2, 0))"))
+    def runs(k: int) -> str:
+        length = " + ".join(f"length(__tok[i + {j}])" for j in range(k))
+        return (f"transform(sequence(0, size(__tok) - {k}), i -> named_struct("
+                f"'h', {_run_hash('__tok', k)}, 'len', {length}))")
+    each = F.when(F.size("__tok") >= 3, F.expr(runs(3))).when(F.size("__tok") >= 1, F.expr(runs(1)))
+    return d.select(needle_id, F.inline(each))
 
 
-def _text_runs(hay: DataFrame, hay_col: str, id_col: str, ks: list[int]) -> DataFrame:
+def _text_runs(hay: DataFrame, hay_col: str, id_col: str) -> DataFrame:
+    """id, h: the distinct runs of 1 and of 3 tokens of each text, one explode for both."""
     d = _materialize(hay.select(id_col, hay_col), "__tok", F.split(F.col(hay_col), TOKEN_SPLIT, -1))
     d = _materialize(d, "__tok", F.filter("__tok", lambda x: F.length(x) > 0))
-    parts = []
-    for k in ks:
-        if k == 1:
-            h = F.transform(F.array_distinct("__tok"), lambda w: F.xxhash64(w))
-        else:
-            h = F.expr(f"transform(sequence(0, size(__tok) - {k}), "
-                       f"i -> xxhash64({', '.join(f'__tok[i + {j}]' for j in range(k))}))")
-            h = F.when(F.size("__tok") >= k, h).otherwise(F.array().cast("array<bigint>"))
-        parts.append(d.select(id_col, F.lit(k).alias("__k"), F.explode(F.array_distinct(h)).alias("__h")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _keyed(needles: DataFrame, needle_id: str, needle_col: str) -> DataFrame:
-    """needle_id, __k, __h: the anchor run of each needle; __k = 0 without one."""
-    anchored = _needle_anchor(needles.select(needle_id, needle_col), needle_col)
-    return anchored.select(
-        needle_id, "__k", F.when(F.col("__k") == 3, _run_hash(F.col("__run"), 3))
-        .when(F.col("__k") == 1, _run_hash(F.col("__run"), 1)).alias("__h"))
-
-
-def _anchor_candidates(hay: DataFrame, keyed: DataFrame, hay_id: str, hay_col: str,
-                       needle_id: str) -> DataFrame:
-    runs = _text_runs(hay, hay_col, hay_id, [1, 3])
-    return runs.join(keyed.filter(F.col("__k") > 0), ["__k", "__h"]).select(hay_id, needle_id).distinct()
+    def runs(k: int) -> Column:
+        return F.when(F.size("__tok") >= k, F.expr(
+            f"transform(sequence(0, size(__tok) - {k}), i -> {_run_hash('__tok', k)})")
+        ).otherwise(F.array().cast("array<bigint>"))
+    hashes = F.array_distinct(F.concat(runs(1), runs(3)))
+    return d.select(id_col, F.explode(_materialize_expr(hashes)).alias("h"))
+
+
+def _materialize_expr(expr: Column) -> Column:
+    return F.when(F.spark_partition_id() >= 0, expr)
+
+
+def anchors(hay: DataFrame, needles: DataFrame, hay_id: str, hay_col: str, needle_id: str,
+            needle_col: str) -> tuple[DataFrame, DataFrame]:
+    """(needle_id, h) of the needles that have an anchor, and (hay_id, h) of the runs that leave
+    the texts' stage: those that some anchor may have."""
+    choices = _needle_runs(needles, needle_id, needle_col)
+    runs = _text_runs(hay, hay_col, hay_id)
+    keyed = rarest(choices, runs, needle_id, -F.col("len"))
+    return keyed, bucket_filter(runs, keyed)
+
+
+def _anchor_candidates(hay: DataFrame, needles: DataFrame, hay_id: str, hay_col: str,
+                       needle_id: str, needle_col: str) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs of ids, and the needles that have no anchor."""
+    keyed, runs = anchors(hay, needles, hay_id, hay_col, needle_id, needle_col)
+    tokens = F.size(F.split(F.col(needle_col), TOKEN_SPLIT, -1))
+    rest = needles.filter(F.coalesce(tokens, F.lit(0)) <= 2)
+    return runs.join(keyed, "h").select(hay_id, needle_id).distinct(), rest
 
 
 def _grams(col: str) -> Column:
@@ -121,14 +125,16 @@ def _unit_candidates(hay: DataFrame, needles: DataFrame, hay_id: str, hay_col: s
         _units(needle_col), lambda u: F.struct(F.length(u).alias("n"), u.alias("u"))))["u"]
     sought = needles.filter(F.col(needle_col).isNotNull()).select(
         needle_id, F.coalesce(longest, F.lit("")).alias("__part")).withColumn(
-        "__gram", F.substring("__part", 1, GRAM))
+        "__gram", F.substring("__part", 1, GRAM)).withColumn("h", F.xxhash64("__gram"))
     units = hay.filter(F.col(hay_col).isNotNull()).select(hay_id, F.explode(
         F.array_union(_units(hay_col), F.array(F.lit("")))).alias("__unit"))
-    vocabulary = units.select("__unit").distinct()
-    hits = (vocabulary.select("__unit", F.explode(_grams("__unit")).alias("__gram"))
-            .join(sought, "__gram").filter(F.contains("__unit", "__part"))
+    grams = units.select(hay_id, "__unit", F.explode(_grams("__unit")).alias("__gram")).withColumn(
+        "h", F.xxhash64("__gram"))
+    left = bucket_filter(grams, sought).select(hay_id, "__unit", "__gram")
+    hits = (left.select("__unit", "__gram").distinct()
+            .join(sought.drop("h"), "__gram").filter(F.contains("__unit", "__part"))
             .select("__unit", needle_id))
-    return units.join(hits, "__unit").select(hay_id, needle_id).distinct()
+    return left.select(hay_id, "__unit").join(hits, "__unit").select(hay_id, needle_id).distinct()
 
 
 def _verified(candidates: DataFrame, hay: DataFrame, needles: DataFrame, hay_id: str,
@@ -140,9 +146,7 @@ def _verified(candidates: DataFrame, hay: DataFrame, needles: DataFrame, hay_id:
 def anchor_join(hay: DataFrame, needles: DataFrame, hay_id: str, hay_col: str,
                 needle_id: str, needle_col: str, extra: Column | None = None) -> DataFrame:
     """All (hay row, needle row) pairs with needle ⊂ hay text (and ``extra``), exact."""
-    keyed = _keyed(needles, needle_id, needle_col)
-    candidates = _anchor_candidates(hay, keyed, hay_id, hay_col, needle_id)
-    short = needles.join(keyed.filter(F.col("__k") == 0).select(needle_id), needle_id, "left_semi")
+    candidates, short = _anchor_candidates(hay, needles, hay_id, hay_col, needle_id, needle_col)
     candidates = candidates.unionByName(
         _unit_candidates(hay, short, hay_id, hay_col, needle_id, needle_col))
     conditions = [F.contains(F.col(hay_col), F.col(needle_col))] + ([] if extra is None else [extra])
@@ -167,12 +171,9 @@ def _contained_both(hay: DataFrame, keys: DataFrame) -> DataFrame:
     """Pairs with __sc ⊂ __text and __q ⊂ __iq. A key is found through its sentence if that
     has an anchor, else through its question, else through the sentence's longest unit: a
     short sentence alone would meet a share of all texts."""
-    by_sentence = _keyed(keys, "__kid", "__sc")
-    rest = keys.join(by_sentence.filter(F.col("__k") == 0).select("__kid"), "__kid", "left_semi")
-    by_question = _keyed(rest, "__kid", "__q")
-    last = rest.join(by_question.filter(F.col("__k") == 0).select("__kid"), "__kid", "left_semi")
-    candidates = (_anchor_candidates(hay, by_sentence, "__iord", "__text", "__kid")
-                  .unionByName(_anchor_candidates(hay, by_question, "__iord", "__iq", "__kid"))
+    by_sentence, rest = _anchor_candidates(hay, keys, "__iord", "__text", "__kid", "__sc")
+    by_question, last = _anchor_candidates(hay, rest, "__iord", "__iq", "__kid", "__q")
+    candidates = (by_sentence.unionByName(by_question)
                   .unionByName(_unit_candidates(hay, last, "__iord", "__text", "__kid", "__sc")))
     return _verified(candidates, hay, keys, "__iord", "__kid",
                      [F.contains("__iq", "__q"), F.contains("__text", "__sc")])

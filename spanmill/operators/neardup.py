@@ -8,15 +8,24 @@ threshold, a vector within r of x lives in a cell p with angle(x, p) <= angle(x,
 and its angle to p differs from x's by at most r (the triangle inequality holds for angles). So x
 visits those cells, three rings in each, and the exact cosine decides. Pivots are a fixed number
 of rows chosen by a hash of their ids, whatever the input's size.
+
+In many dimensions the bounds of this exact mode hardly exclude a cell, and it compares most pairs.
+``mode="signatures"`` does not: see signature_near_duplicates(). It drops only rows that the rule
+drops, and finds a close pair with a stated probability instead of always.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 PIVOTS = 24
 #: Rounding of angles near a cell's or ring's edge must not lose a pair.
 SLACK = 1e-6
@@ -40,18 +49,34 @@ def _angle(a: Column, b: Column) -> Column:
     return F.acos(F.greatest(F.least(_dot(a, b), F.lit(1.0)), F.lit(-1.0)))
 
 
-def near_duplicates(df: DataFrame, id_col: str, vec_col: str, threshold: float) -> DataFrame:
+def _classes(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
+    """(ids of rows with an earlier equal vector, one row (id, u) per distinct direction)."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")).filter(
+        F.exists("v", lambda x: x != 0))
+    classes = rows.groupBy("v").agg(F.min("id").alias("first"))
+    copies = rows.join(classes, "v").filter(F.col("id") > F.col("first")).select("id")
+    units = classes.select(F.col("first").alias("id"), _guarded(_unit("v")).alias("u")).filter(
+        F.col("u").isNotNull())
+    return copies, units
+
+
+def near_duplicates(df: DataFrame, id_col: str, vec_col: str, threshold: float,
+                    mode: str = "exact") -> DataFrame:
     """Ids of the rows that the rule drops. Rows without a vector, or with a zero vector, have no
     direction and are never dropped; equal ids of equal vectors are one row."""
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
+    if mode not in ("exact", "signatures"):
+        raise ValueError(f"unknown mode {mode!r}")
+    copies, units = _classes(df, id_col, vec_col)
+    close = (exact_close if mode == "exact" else signature_near_duplicates)(units, threshold)
+    # a class that is dropped takes its copies with it; these are dropped in any case
+    return copies.unionByName(close).distinct().select(F.col("id").alias(id_col))
+
+
+def exact_close(units: DataFrame, threshold: float) -> DataFrame:
+    """units (id, u) -> the ids with an earlier unit vector within the threshold."""
     r = math.acos(threshold) + SLACK
-    rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"),
-                     F.xxhash64(vec_col).alias("h")).filter(F.col("v").isNotNull())
-    classes = rows.groupBy("v").agg(F.min("id").alias("first"))
-    copies = rows.join(classes, "v").filter(F.col("id") > F.col("first")).select("id")
-    units = classes.select(F.col("first").alias("id"), _guarded(_unit("v")).alias("u")).filter(
-        F.col("u").isNotNull())
     pivots = (units.orderBy(F.xxhash64("id"), "id").limit(PIVOTS)  # a fixed number of rows
               .agg(F.sort_array(F.collect_list(F.struct("id", "u"))).alias("pivots")))
     placed = units.withColumn("pivots", _guarded(pivots.scalar())).withColumn(
@@ -67,16 +92,132 @@ def near_duplicates(df: DataFrame, id_col: str, vec_col: str, threshold: float)
               .select("id", "u", "c.cell", F.explode(F.transform(
                   F.array(F.lit(-1), F.lit(0), F.lit(1)),
                   lambda d: F.floor(F.col("c.a") / r).cast("int") + d)).alias("ring")))
-    close = (visits.join(home, ["cell", "ring"]).filter(F.col("home_id") < F.col("id"))
-             .filter(_dot(F.col("u"), F.col("home_u")) >= threshold).select("id").distinct())
-    # a class that is dropped takes its copies with it; these are dropped in any case
-    return copies.unionByName(close).distinct().select(F.col("id").alias(id_col))
-
-
-def near_dup_reject(df: DataFrame, id_col: str, vec_col: str,
-                    threshold: float) -> tuple[DataFrame, DataFrame]:
+    return (visits.join(home, ["cell", "ring"]).filter(F.col("home_id") < F.col("id"))
+            .filter(_dot(F.col("u"), F.col("home_u")) >= threshold).select("id").distinct())
+
+
+#: Signature mode: probability with which a pair exactly at the threshold shares a cell; most rows
+#: of a cell that meet as a whole; bits of a sketch and how many standard deviations of its
+#: distance at the threshold are let through; rows from which the planes' offsets are taken.
+RECALL, CELL_ROWS, SKETCH_BITS, SKETCH_SIGMAS, OFFSET_ROWS = 0.97, 1024, 256, 4, 4096
+
+
+def signature_sizes(n: int, threshold: float) -> tuple[int, int]:
+    """(bits, tables): bits so that n spread rows have about one row a cell, and as many tables as
+    RECALL takes if a row visits its own cell and those that differ in one bit."""
+    bits = min(max(math.ceil(math.log2(max(n, 2))), 4), 40)
+    p = math.acos(threshold) / math.pi  # a plane parts a pair at the threshold
+    one = (1 - p) ** bits + bits * p * (1 - p) ** (bits - 1)
+    return bits, max(1, math.ceil(math.log(1 - RECALL) / math.log(max(1 - one, 1e-9))))
+
+
+def _planes(dim: int, bits: int, tables: int) -> tuple[np.ndarray, np.ndarray]:
+    """Planes of the tables, orthogonal in groups of dim, and of the sketch."""
+    r = np.random.default_rng(20)
+    groups = [np.linalg.qr(r.normal(size=(dim, dim)))[0]
+              for _ in range(-(-bits * tables // dim))]
+    return np.concatenate(groups, 1)[:, :bits * tables], r.normal(size=(dim, SKETCH_BITS))
+
+
+def signatures(units: DataFrame, threshold: float) -> tuple[DataFrame, int]:
+    """units (id, u) -> (id, codes: a cell number per table, sketch: 64-bit words), and the bits
+    of a code. A plane is moved to the median of a bounded sample, so that vectors with a common
+    part still spread over the cells. Vectors of another length than the sample's raise."""
+    sample = units.orderBy(F.xxhash64("id"), "id").limit(OFFSET_ROWS).select("u").toArrow()
+    vectors = sample["u"].to_pylist()
+    dim = len(vectors[0]) if vectors else 1
+    bits, tables = signature_sizes(units.count(), threshold)
+    planes, sketch = _planes(dim, bits, tables)
+    offsets = np.median(np.array(vectors) @ planes, 0) if vectors else np.zeros(bits * tables)
+    weights = np.left_shift(np.int64(1), np.arange(bits, dtype=np.int64))
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            u = b.column("u").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, dim)
+            codes = ((u @ planes > offsets).reshape(b.num_rows, tables, bits) @ weights).reshape(-1)
+            words = np.packbits(u @ sketch > 0, axis=1).view("<i8").reshape(-1)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), _lists(codes, tables), _lists(words, SKETCH_BITS // 64)],
+                ["id", "codes", "sketch"])
+
+    kind = units.schema["id"].dataType.simpleString()
+    return units.mapInArrow(signed, f"id {kind}, codes array<bigint>, sketch array<bigint>"), bits
+
+
+def _lists(values: np.ndarray, size: int) -> pa.ListArray:
+    offsets = np.arange(0, len(values) + 1, size, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int64)))
+
+
+def _visits(signed: DataFrame, bits: int) -> DataFrame:
+    """id, sketch, t, cell: a row per visited cell, the own one and those one bit away."""
+    flips = F.concat(F.array(F.lit(0).cast("long")), F.transform(
+        F.sequence(F.lit(0), F.lit(bits - 1)), lambda i: F.pow(F.lit(2.0), i).cast("long")))
+    return signed.select("id", "sketch", F.posexplode("codes").alias("t", "own"), flips.alias("f")).select(
+        "id", "sketch", "t", F.explode(F.transform("f", lambda f: F.col("own").bitwiseXOR(f))).alias("cell"))
+
+
+def _apart(a: str, b: str) -> Column:
+    """Bits in which two sketches differ."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
+                       lambda s, x: s + x)
+
+
+def _close_pairs(pairs: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
+    """pairs (id, home_id) -> ids of those whose exact cosine reaches the threshold."""
+    mine = units.select("id", F.col("u").alias("__a"))
+    other = units.select(F.col("id").alias("home_id"), F.col("u").alias("__b"))
+    return pairs.join(mine, "id").join(other, "home_id").filter(
+        _dot(F.col("__a"), F.col("__b")) >= threshold).select("id").distinct()
+
+
+def signature_pairs(visits: DataFrame, home: DataFrame) -> DataFrame:
+    """(id, sketch, home_id, home_sketch): each visiting row with the earlier rows of the cell.
+    A cell of more than CELL_ROWS rows is dealt into parts of about that many, which a visitor
+    meets one by one in different groups, so no group of the join is larger."""
+    sizes = home.groupBy("t", "cell").agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.where(F.col("n") > CELL_ROWS).select(
+        "t", "cell", F.ceil(F.col("n") / CELL_ROWS).cast("int").alias("parts"))
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = home.join(large, ["t", "cell"], "left").select(
+        "t", "cell", F.pmod(F.xxhash64("home_id"), parts).cast("int").alias("part"), "home_id", "home_sketch")
+    seen = visits.join(large, ["t", "cell"], "left").select(
+        "id", "sketch", "t", "cell", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    return seen.join(dealt, ["t", "cell", "part"]).where(F.col("home_id") < F.col("id")).select(
+        "id", "sketch", "home_id", "home_sketch")
+
+
+def signature_near_duplicates(units: DataFrame, threshold: float) -> DataFrame:
+    """units (id, u) -> ids with an earlier unit vector within the threshold, by random planes.
+
+    A row lives in one cell per table, the signs of its products with that table's planes, and
+    visits this cell and those one bit away. Candidates within reach by their sketches are
+    verified by the exact cosine, so nothing is dropped that the rule keeps. Visitors first meet
+    the earliest row of a cell; who is close to it is decided and visits no more, which ends most
+    of the work in a large group of near copies. The others meet the whole cell."""
+    units = cut_lineage(units)
+    signed, bits = signatures(units, threshold)
+    signed = cut_lineage(signed)
+    p = math.acos(threshold) / math.pi
+    reach = SKETCH_BITS * p + SKETCH_SIGMAS * math.sqrt(SKETCH_BITS * p * (1 - p))
+    visits = _visits(signed, bits)
+    home = signed.select(F.col("id").alias("home_id"), F.col("sketch").alias("home_sketch"),
+                         F.posexplode("codes").alias("t", "cell"))
+    leaders = home.groupBy("t", "cell").agg(F.min(F.struct("home_id", "home_sketch")).alias("m")).select(
+        "t", "cell", "m.home_id", "m.home_sketch")
+    near = lambda d: d.where(_apart("sketch", "home_sketch") <= reach).select(
+        "id", "home_id").distinct()
+    first = visits.join(leaders, ["t", "cell"]).where(F.col("home_id") < F.col("id"))
+    decided = cut_lineage(_close_pairs(near(first), units, threshold))
+    rest = _visits(signed.join(decided, "id", "left_anti"), bits)
+    found = _close_pairs(near(signature_pairs(rest, home)), units, threshold)
+    return decided.unionByName(found)
+
+
+def near_dup_reject(df: DataFrame, id_col: str, vec_col: str, threshold: float,
+                    mode: str = "exact") -> tuple[DataFrame, DataFrame]:
     """(kept rows, rejects): rejects carry the reason ``near_duplicate``."""
-    dropped = near_duplicates(df, id_col, vec_col, threshold)
+    dropped = near_duplicates(df, id_col, vec_col, threshold, mode)
     rejects = dropped.select(F.lit("generate").alias("stage"), F.col(id_col).cast("string").alias("key"),
                              F.lit("near_duplicate").alias("reason"))
     return df.join(dropped, id_col, "left_anti"), rejects

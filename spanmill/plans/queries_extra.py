@@ -105,3 +105,15 @@ def q_near_dup_reject(spark, sf_dir):
     from ..operators.neardup import near_dup_reject
     rows = _t(spark, sf_dir).embeddings
     return near_dup_reject(rows, "vec_id", "embedding", NEAR_DUP_COSINE)[0].select("vec_id")
+
+
+@register("near_dup_signatures", f"""
+WITH e AS (SELECT vec_id, {_UNIT_SQL} AS v FROM embeddings)
+SELECT vec_id FROM e a WHERE NOT EXISTS (
+  SELECT 1 FROM e b WHERE b.vec_id < a.vec_id AND list_cosine_similarity(a.v, b.v) >= {NEAR_DUP_COSINE})""")
+def q_near_dup_signatures(spark, sf_dir):
+    """The rule of near_dup_reject in signature mode. It could keep a row that the exact mode
+    drops; on tables whose close pairs are all found the results agree."""
+    from ..operators.neardup import near_dup_reject
+    rows = _t(spark, sf_dir).embeddings
+    return near_dup_reject(rows, "vec_id", "embedding", NEAR_DUP_COSINE, "signatures")[0].select("vec_id")

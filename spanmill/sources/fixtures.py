@@ -151,6 +151,17 @@ def verdicts(t: Tables) -> DataFrame:
                            .alias("error_messages"))
 
 
+def rejection_rules(t: Tables) -> DataFrame:
+    """Exclusion rules (rule_no, field, pattern): the answers of documents labelled as bad and the
+    questions of those labelled as toxic."""
+    d = qa_flat(t).join(t.labels, "doc_id")
+    answers = d.filter(F.col("quality") == 0).select(
+        (2 * F.col("doc_id")).alias("rule_no"), F.lit("answer").alias("field"), F.col("answer").alias("pattern"))
+    asked = d.filter(F.col("toxic") == 1).select(
+        (2 * F.col("doc_id") + 1).alias("rule_no"), F.lit("question").alias("field"), F.col("question").alias("pattern"))
+    return answers.unionByName(asked).distinct()
+
+
 def questions(t: Tables) -> DataFrame:
     return t.view("questions", lambda: _questions(t))
 

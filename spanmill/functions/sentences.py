@@ -6,13 +6,9 @@ the marks, so the parts concatenate back to the text. Each sentence is
 ``struct<i, start, end, text>``: 0-based code-point offsets, ``text`` right-trimmed,
 ``end = start + length(text)``.
 
-Start offsets are prefix sums of the part lengths. Spark has no array scan, and a
-naive ``aggregate(slice(lens, 1, i))`` per element is quadratic in the number of
-sentences, so the sums are computed in blocks of ``BLOCK`` parts: block totals,
-prefix of block totals, prefix inside the block. Cost per document is
-O(n * BLOCK + (n / BLOCK)^2), JVM-side, no shuffle. (Spark evaluates higher-order
-functions interpreted, outside whole-stage codegen; the regex and split steps are
-ordinary expressions.)
+Start offsets are prefix sums of the part lengths, taken in blocks of blocks (text.prefix_sums),
+JVM-side, no shuffle. (Spark evaluates higher-order functions interpreted, outside whole-stage
+codegen; the regex and split steps are ordinary expressions.)
 
 Every intermediate array is referenced at least twice by its consumer, so the
 optimizer keeps it as a materialised column instead of inlining it into a lambda
@@ -24,12 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import RSTRIP_RE, WS
+from .text import RSTRIP_RE, WS, prefix_sums
 
 # a sentence ends behind the mark and the white space before an upper-case letter
 SPLIT_RE = rf"([.!?])({WS}+)(\p{{Lu}})"
 BOUNDARY_RE = rf"[.!?]{WS}+(?=\p{{Lu}})"
-BLOCK = 32
 
 SENTENCE_TYPE = "array<struct<i:int,start:int,end:int,text:string>>"
 
@@ -41,17 +36,27 @@ def _sql_str(s: str) -> str:
 DEFAULT_ABBREVIATIONS = ("Dr", "Prof", "Nr", "St", "bzw", "ca", "vgl", "usw", "etc", "Mr", "Mrs", "No")
 
 
-def boundary_pattern(ordinals: bool = False, abbreviations=()) -> str:
+def _word(entry: str) -> str:
+    return "\\Q" + entry.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
+def boundary_pattern(ordinals: bool = False, abbreviations=(), followers=()) -> str:
     """Sentence ends. Dots after a 1-3 digit number (day ordinals such as "3. Mai") and after
-    the given abbreviations, both as whole words, can be excepted."""
+    the given abbreviations, both as whole words, can be excepted, and dots after any number in
+    front of one of the given ``followers``. Abbreviations and followers ignore case."""
     alts = []
     if ordinals:
         alts.append(r"\p{N}{1,3}")
-    alts += [a.replace(".", "\\.") for a in abbreviations]
-    if not alts:
+    if abbreviations:
+        alts.append("(?iu:" + "|".join(map(_word, abbreviations)) + ")")
+    if not alts and not followers:
         return BOUNDARY_RE
     guard = r"(?<![\p{L}\p{N}])(?:" + "|".join(alts) + ")"
-    return rf"(?:[!?]|(?<!{guard})\.){WS}+(?=\p{{Lu}})"
+    dot = rf"(?<!{guard})\." if alts else r"\."
+    if followers:
+        named = "(?iu:" + "|".join(map(_word, followers)) + r")(?![\p{L}\p{N}])"
+        dot += rf"(?!(?<=\p{{N}}\.){WS}+{named})"
+    return rf"(?:[!?]|{dot}){WS}+(?=\p{{Lu}})"
 
 
 def sentence_parts(text, pattern: str = BOUNDARY_RE) -> Column:
@@ -62,29 +67,20 @@ def sentence_parts(text, pattern: str = BOUNDARY_RE) -> Column:
 
 
 def with_sentences(df: DataFrame, text_col: str, out_col: str = "sents", guard_ordinals: bool = False,
-                   abbreviations=(), splitter=None) -> DataFrame:
+                   abbreviations=(), splitter=None, learned=None) -> DataFrame:
     """Add ``out_col`` = sentences of ``text_col`` (null text -> null). Optional guards keep
     dots after ordinals / abbreviations from ending a sentence (the default rule is the one
-    the oracle restates). ``splitter`` is a caller's own rule: a function from the text column
+    the oracle restates); ``learned`` are entries of operators/abbreviations.py. ``splitter`` is a caller's own rule: a function from the text column
     to an array of parts that joined are the text."""
     t = f"`{text_col}`"
-    p, ln, bs, bo, st = (f"__{out_col}_{x}" for x in ("parts", "lens", "bsum", "boff", "starts"))
-    B = BLOCK
+    p, ln, st = (f"__{out_col}_{x}" for x in ("parts", "lens", "starts"))
     parts = (splitter(F.col(text_col)) if splitter else
-             sentence_parts(text_col, boundary_pattern(guard_ordinals, abbreviations)))
+             sentence_parts(text_col, boundary_pattern(
+                 guard_ordinals, (*abbreviations, *(learned.abbreviations if learned else ())),
+                 learned.followers if learned else ())))
     out = df.withColumn(p, parts)
     out = out.withColumn(ln, F.expr(f"transform(`{p}`, x -> length(x))"))
-    out = out.withColumn(bs, F.expr(
-        f"transform(sequence(0, (size(`{ln}`) - 1) div {B}), "
-        f"b -> aggregate(slice(`{ln}`, b * {B} + 1, {B}), 0, (a, x) -> a + x))"))
-    # offset of each block, repeated for every part of the block
-    out = out.withColumn(bo, F.expr(
-        f"flatten(transform(`{bs}`, (s, b) -> array_repeat("
-        f"aggregate(slice(`{bs}`, 1, b), 0, (a, x) -> a + x), "
-        f"least({B}, size(`{ln}`) - b * {B}))))"))
-    out = out.withColumn(st, F.expr(
-        f"zip_with(`{bo}`, transform(`{ln}`, (x, i) -> "
-        f"aggregate(slice(`{ln}`, i - i % {B} + 1, i % {B}), 0, (a, y) -> a + y)), (o, w) -> o + w)"))
+    out = out.withColumn(st, prefix_sums(F.col(ln)))
     rstrip = f"regexp_replace(z.`{p}`, {_sql_str(RSTRIP_RE)}, '')"
     out = out.withColumn(out_col, F.expr(
         f"transform(arrays_zip(`{p}`, `{st}`), (z, i) -> named_struct("
@@ -95,7 +91,7 @@ def with_sentences(df: DataFrame, text_col: str, out_col: str = "sents", guard_o
     # is re-inlined into lambda bodies and the per-document cost becomes super-linear.
     guard = F.spark_partition_id() >= 0
     out = out.withColumn(out_col, F.when(F.col(text_col).isNotNull() & guard, F.col(out_col)))
-    return out.drop(p, ln, bs, bo, st)
+    return out.drop(p, ln, st)
 
 
 def sentence_at(sents, pos) -> Column:

@@ -48,6 +48,39 @@ def contains(col, needle) -> Column:
     return F.contains(_c(col), needle if isinstance(needle, Column) else F.lit(needle))
 
 
+#: Values that one block of prefix_sums() adds up.
+SUM_BLOCK = 32
+
+
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once, however often the body uses it in lambdas."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def prefix_sums(values: Column) -> Column:
+    """For each element of an array of ints the sum of those before it.
+
+    There is no array scan, so sums are taken in blocks of blocks: n * SUM_BLOCK steps and
+    (n / SUM_BLOCK^2)^2 / 2 more."""
+    total = lambda part: F.aggregate(part, F.lit(0), lambda a, x: a + x)
+    block = lambda i: F.floor(i / SUM_BLOCK).cast("int")
+
+    def blocks(v: Column) -> Column:
+        last = F.floor((F.size(v) - 1) / SUM_BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+                           lambda k: total(F.slice(v, k * SUM_BLOCK + 1, F.lit(SUM_BLOCK))))
+
+    def inside(v: Column, before: Column) -> Column:
+        return F.transform(v, lambda _, i: F.get(before, block(i)) + total(
+            F.slice(v, i - i % SUM_BLOCK + 1, i % SUM_BLOCK)))
+
+    def whole(v: Column) -> Column:
+        return F.transform(v, lambda _, i: total(F.slice(v, F.lit(1), i)))
+
+    return let(values, lambda v: let(blocks(v), lambda b: let(
+        let(blocks(b), whole), lambda top: let(inside(b, top), lambda low: inside(v, low)))))
+
+
 def all_offsets(text, needle) -> Column:
     """0-based start of every occurrence, overlapping; an empty needle hits every index.
 
@@ -57,11 +90,7 @@ def all_offsets(text, needle) -> Column:
     none = F.array().cast("array<int>")
     every = F.when(F.length(t) > 0, F.sequence(F.lit(0), F.length(t) - 1)).otherwise(none)
     quoted = F.concat(F.lit(r"(?=\Q"), F.replace(n, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E)"))
-    start = F.struct(F.lit(0).alias("at"), none.alias("starts"))
-    starts = F.aggregate(
-        F.split(t, quoted, -1), start,
-        lambda s, piece: F.struct((s["at"] + F.length(piece)).alias("at"),
-                                  F.concat(s["starts"], F.array(s["at"])).alias("starts")))["starts"]
+    starts = prefix_sums(F.transform(F.split(t, quoted, -1), lambda piece: F.length(piece)))
     # the first piece begins with the text, whether or not with an occurrence
     hits = F.when(F.startswith(t, n), starts).otherwise(F.slice(starts, 2, F.size(starts)))
     return F.when(t.isNull() | n.isNull(), none).when(n == "", every).otherwise(hits)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_digits
@@ -40,10 +40,16 @@ def distinct_counts(df: DataFrame, columns: dict[str, Column], approx: bool = Fa
 
 
 def duplicated_values(df: DataFrame, value: Column, ord_col: str = "ord", by: list[str] = ()) -> DataFrame:
-    """A3: values seen more than once (within ``by``), with their count and first-seen ord."""
-    return (df.groupBy(*by, value.alias("value"))
+    """A3: values seen more than once (within ``by``), with their count and first-seen ord. Groups
+    are formed on digests; only values that are there more than once travel, once each."""
+    key = F.coalesce(digest(value.cast("string")), F.lit(""))
+    seen = (df.groupBy(*by, key.alias("__d"))
             .agg(F.count(F.lit(1)).alias("n"), F.min(ord_col).alias("first_ord"))
             .filter(F.col("n") > 1))
+    first = df.select(F.col(ord_col).alias("first_ord"), key.alias("__d"), value.alias("value"))
+    # an ord may stand several times: one row of the value is as good as another
+    named = (seen.join(first, ["first_ord", "__d"]).dropDuplicates([*by, "__d"]))
+    return named.select(*by, "value", "n", "first_ord")
 
 
 def duplicated_rows(df: DataFrame, value: Column, ord_col: str = "ord") -> DataFrame:
@@ -83,11 +89,30 @@ def sorted_positions(df: DataFrame, length: Column, ord_col: str = "ord", name:
                            bucket=F.shiftright(F.col(ord_col).cast("bigint"), 16)).drop("__len")
 
 
+def _holding(sizes: DataFrame, key: str, k: Column) -> Column:
+    """struct(key, rest) of the group that holds the k-th row, rest counting from its first row;
+    sizes (key, n) has a row per group. A scalar: no driver round trip."""
+    before = F.coalesce(F.sum("n").over(
+        Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    found = sizes.withColumn("__b", before).where((F.col("__b") <= k) & (k < F.col("__b") + F.col("n")))
+    return found.select(F.struct(F.col(key).alias("key"), (k - F.col("__b")).alias("rest"))).scalar()
+
+
 def upper_median(df: DataFrame, length: Column, ord_col: str = "ord") -> DataFrame:
-    """The row at position n div 2 of the stable sort by length."""
-    n = scalar(df, F.count(F.lit(1)))
-    ranked = sorted_positions(df, length, ord_col, "__pos")
-    return ranked.filter(F.col("__pos") == F.floor(n / 2)).drop("__pos")
+    """The row at position n div 2 of the stable sort by length.
+
+    Selection instead of a sort: counts by length name the length and how many of its rows come
+    first, counts of those rows by the high bits of ord name a block of 2^16 ords, and only that
+    block's rows are put in order."""
+    keyed = df.withColumns({"__len": F.coalesce(length, F.lit(-1)),
+                            "__blk": F.shiftright(F.col(ord_col).cast("bigint"), 16)})
+    half = F.floor(scalar(df, F.count(F.lit(1))) / 2)
+    at = _holding(keyed.groupBy("__len").agg(F.count(F.lit(1)).alias("n")), "__len", half)
+    same = keyed.where(F.col("__len") == at["key"])
+    block = _holding(same.groupBy("__blk").agg(F.count(F.lit(1)).alias("n")), "__blk", at["rest"])
+    last = same.where(F.col("__blk") == block["key"]).withColumn(
+        "__pos", F.row_number().over(Window.orderBy(ord_col)) - 1)
+    return last.where(F.col("__pos") == block["rest"]).drop("__len", "__blk", "__pos")
 
 
 def digit_count(df: DataFrame, value: Column) -> DataFrame:

@@ -144,9 +144,12 @@ def q_param_grid(spark, sf_dir):
 
 
 @register("grid_split", """
-SELECT 'answerable' AS pass, p_idx, n_pos, n_neg, pos_len, neg_len FROM agrid
-UNION ALL SELECT 'unanswerable' AS pass, p_idx, n_pos, n_neg, pos_len, neg_len FROM ugrid""")
+SELECT * FROM (
+  SELECT 'answerable' AS pass, p_idx, n_pos, n_neg, pos_len, neg_len FROM agrid
+  UNION ALL SELECT 'unanswerable' AS pass, p_idx, n_pos, n_neg, pos_len, neg_len FROM ugrid)
+SEMI JOIN (SELECT DISTINCT pass, p_idx FROM final_rows) USING (pass, p_idx)""")
 def q_grid_split(spark, sf_dir):
+    """The grid entries that receive instruction rows (all of them, unless there are few rows)."""
     r = _dataset(spark, sf_dir)
     cols = ["p_idx", "n_pos", "n_neg", "pos_len", "neg_len"]
     a = r.parts["answerable_grid"].select(F.lit("answerable").alias("pass"), *[F.col(c).cast("bigint") for c in cols])

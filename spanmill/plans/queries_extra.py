@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import NOT_WS, WS
+from ..operators.abbreviations import DOTTED, NUMBER, NUMBER_RE, abbreviation_scores, follower_scores, token_counts
 from ..operators.headings import line_profile, strip_headings
 from ..operators.negatives import dissimilar_partners, random_partners
 from ..options import DEFAULT_SEED, HEADING_EXCEPTION_ANSWERS
@@ -117,3 +118,66 @@ def q_near_dup_signatures(spark, sf_dir):
     from ..operators.neardup import near_dup_reject
     rows = _t(spark, sf_dir).embeddings
     return near_dup_reject(rows, "vec_id", "embedding", NEAR_DUP_COSINE, "signatures")[0].select("vec_id")
+
+
+# ---- X7: statistics of learned abbreviations and of words behind ordinals -------------------
+def _kind(x: str) -> str:
+    return f"regexp_replace(lower({x}), '\\.+$', '')"
+
+
+def _log_l(k: str, n: str, p: str) -> str:
+    p = f"least(greatest({p}, 1e-9), 1 - 1e-9)"
+    return f"(({k}) * ln({p}) + (({n}) - ({k})) * ln(1 - {p}))"
+
+
+def _association_sql(both: str, first: str, second: str, total: str) -> str:
+    p, p1 = f"({second} / {total})", f"({both} / {first})"
+    p2 = f"(CASE WHEN {total} > {first} THEN ({second} - {both}) / ({total} - {first}) ELSE 0.0 END)"
+    rest = f"({second} - {both})", f"({total} - {first})"
+    ratio = (f"-2 * ({_log_l(both, first, p)} + {_log_l(*rest, p)} - {_log_l(both, first, p1)}"
+             f" - {_log_l(*rest, p2)})")
+    return f"CASE WHEN {p1} > {p} THEN {ratio} ELSE -({ratio}) END"
+
+
+O.cte("tok_raw", f"""
+SELECT doc_id, list_filter(list_transform(regexp_split_to_array(text, {O.q(WS + "+")}),
+  lambda w: regexp_replace(regexp_replace(w, '^[^\\p{{L}}\\p{{N}}]+', ''), '[^\\p{{L}}\\p{{N}}.]+$', '')),
+  lambda w: w <> '') AS w FROM udocs""")
+O.cte("tok_rows", """
+SELECT w[i] AS t, CASE WHEN i > 1 THEN w[i - 1] ELSE '' END AS p
+FROM (SELECT w, unnest(range(1, len(w) + 1)) AS i FROM tok_raw)""")
+O.cte("tok_counts", f"""
+SELECT CASE WHEN regexp_matches({_kind('t')}, {O.q(NUMBER_RE)}) THEN '{NUMBER}' ELSE {_kind('t')} END AS type,
+  count(*)::DOUBLE AS n, count(*) FILTER (regexp_matches(t, '[^.]\\.$'))::DOUBLE AS n_dot,
+  count(*) FILTER (regexp_matches(p, '[^.]\\.$'))::DOUBLE AS n_after_dot,
+  count(*) FILTER (regexp_matches(p, '[^.]\\.$') AND regexp_matches({_kind('p')}, {O.q(NUMBER_RE)}))::DOUBLE
+    AS n_after_number
+FROM tok_rows GROUP BY 1""")
+O.cte("tok_totals", """
+SELECT sum(n) AS n, sum(n_dot) AS dots, sum(n_after_dot) AS after_dot, sum(n_after_number) AS after_number
+FROM tok_counts""")
+
+
+@register("abbreviation_scores", f"""
+SELECT type, n_dot::BIGINT AS n_dot, n_plain::BIGINT AS n_plain, round(ratio * exp(-letters) * (inside + 1)
+  * power(letters, -n_plain), 4) + 0.0 AS score
+FROM (SELECT c.type, c.n_dot, c.n - c.n_dot AS n_plain,
+  length(type) - length(replace(type, '.', '')) AS inside, length(replace(type, '.', ''))::DOUBLE AS letters,
+  2 * ({_log_l('c.n_dot', 'c.n', str(DOTTED))} - {_log_l('c.n_dot', 'c.n', '(t.dots / t.n)')}) AS ratio
+  FROM tok_counts c CROSS JOIN tok_totals t WHERE c.type <> '{NUMBER}' AND c.n_dot > 0)""")
+def q_abbreviation_scores(spark, sf_dir):
+    counts = token_counts(fx.usable_documents(_t(spark, sf_dir)), "text")
+    return abbreviation_scores(counts).withColumn("score", F.round("score", 4))
+
+
+@register("follower_scores", f"""
+SELECT c.type, c.n::BIGINT AS n, c.n_after_number::BIGINT AS n_after_number,
+  c.n_after_dot::BIGINT AS n_after_dot,
+  round({_association_sql('c.n_after_number', 't.after_number', 'c.n', 't.n')}, 4) + 0.0 AS follower,
+  CASE WHEN t.after_dot > t.after_number THEN round({_association_sql(
+    '(c.n_after_dot - c.n_after_number)', '(t.after_dot - t.after_number)', 'c.n', 't.n')}, 4) + 0.0
+  ELSE 0.0 END AS starter
+FROM tok_counts c CROSS JOIN tok_totals t WHERE c.n_after_number > 0 AND c.type <> '{NUMBER}'""")
+def q_follower_scores(spark, sf_dir):
+    counts = token_counts(fx.usable_documents(_t(spark, sf_dir)), "text")
+    return follower_scores(counts).withColumns({c: F.round(c, 4) for c in ("follower", "starter")})

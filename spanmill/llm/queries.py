@@ -53,9 +53,11 @@ def op1_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
 
     base = [count(k).alias(f"n_{k}") for k in weak_pii.BASE]
+    others = F.size(F.filter("spans", lambda s: ~s["base"])).cast("long")
     return found.select("doc_id", *base,
                         F.sha2(weak_pii.digest(F.col("spans"), True), 256).alias("base_sha256"),
-                        weak_pii.digest(F.col("spans")).alias("spans"))
+                        weak_pii.digest(F.col("spans")).alias("spans"), others.alias("n_other"),
+                        F.size("spans").cast("long").alias("n_spans"))
 
 
 @query

@@ -3,7 +3,10 @@ estimates how reliable each labeler is, and a span classifier is trained on the
 
 Spans of four kinds with fixed definitions (email, ip, card, phone) are always reported. Looser
 candidates of further kinds are reported only if the classifier accepts them. The labelers are
-a strict pattern, a checksum, a gazetteer and the words in front of a span.
+a strict pattern, a checksum (of secrets and long numbers: whether the characters are mixed as
+chance would mix them), a gazetteer and the words in front of a span. They look at different
+things, so they can disagree, and the classifier also sees the size, the digits, the case and the
+place of a span, on which no labeler votes.
 
 Texts are scanned once, in column expressions; only what the patterns match leaves a row. The
 estimation needs counts per vote pattern, of which there are at most a few thousand whatever
@@ -19,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import solid, written
 
 #: The reported kinds, in their order within one start. The first four have fixed definitions.
-KINDS = ["email", "ip", "card", "phone", "secret", "iban", "ssn", "local_phone"]
+KINDS = ["email", "ip", "card", "phone", "secret", "iban", "ssn", "local_phone", "account"]
 BASE = KINDS[:4]
 #: A cheap test before each pattern, and the pattern. Quantifiers are possessive and a run is
 #: entered at its first character only, so long runs cost no more than their length.
@@ -30,13 +33,18 @@ PATTERNS = {
     "card": (r"[0-9](?:[\x20-]?[0-9]){11}",
              r"(?<![0-9])(?<![0-9][\x20-])(?=[0-9](?:[\x20-]?[0-9]){11})[0-9](?:[\x20-]?[0-9])++"),
     "phone": (r"\+[0-9]", r"\+[0-9][\x20().0-9-]+[0-9]"),
-    "secret": ('"', r'(?i:token|secret|password|api_?key)\s{0,2}[=:]\s{0,2}"[^"\s]{8,200}"'),
+    "secret": (r"[=:]\s{0,2}[\"']",
+               r"(?i:token|secret|passwo?r?d|api_?key|auth|credential)\s{0,2}[=:]\s{0,2}"
+               r"(?:\"[^\"\s]{8,}+\"|'[^'\s]{8,}+')"),
     "iban": (r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11}",
              r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"),
     "ssn": (r"[0-9]-[0-9]{2}-[0-9]", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "local_phone": (r"[0-9][\x20.-][0-9]{4}",
                     r"(?<![0-9+().-])(?<!\+[0-9]{1,3}[\x20.-]{0,2})(?:\([0-9]{3}\)\x20?|"
                     r"[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])"),
+    # a long number that is no card; whether it is one is decided by _checked()
+    "account": (r"[0-9](?:[\x20-]?[0-9]){11}",
+                r"(?<![0-9.+])(?<![0-9][\x20-])(?=[0-9](?:[\x20-]?[0-9]){11})[0-9](?:[\x20-]?[0-9])++(?!\.[0-9])"),
 }
 #: Strict forms, one for each kind.
 STRICT = {
@@ -44,10 +52,11 @@ STRICT = {
     "ip": r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$",
     "card": r"^(?:[0-9]{13,19}|[0-9]{4}(?:[\x20-][0-9]{4}){3})$",
     "phone": r"^\+[0-9]{1,3}[\x20-](?:\([0-9]++\)[\x20-])?[0-9]++(?:[\x20-][0-9]++)*+$",
-    "secret": r'"[A-Za-z0-9+/_=-]{16,}"$',
+    "secret": r"[\"'][A-Za-z0-9+/_=.-]{16,}+[\"']$",
     "iban": r"^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$",
     "ssn": r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$",
     "local_phone": r"^\([2-9][0-9]{2}\)\x20?[0-9]{3}-[0-9]{4}$",
+    "account": r"^(?:[0-9]{16}|[0-9]{4}(?:[\x20-][0-9]{4}){3})$",
 }
 #: Entries whose presence in a span speaks for its kind.
 GAZETTEER = {
@@ -55,9 +64,14 @@ GAZETTEER = {
     "ip": r"^(?!(?:0|127|224|255)\.)",
     "card": r"^(?:4|5[1-5]|34|37|6011|62|65)",
     "phone": r"^\+(?:1|7|20|27|30|31|32|33|34|36|39|40|41|43|44|45|46|47|48|49|52|55|61|81|86|91)",
-    "secret": r"(?i)^(?:token|secret|password|api)",
+    # no placeholder, and the length or prefix of a known form
+    "secret": r"(?i)^(?!.*(?:example|change|your|dummy|x{4}|1234|secret[\"']$|password[\"']$)).*[\"'](?:"
+              r"[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|AKIA\w{12,}|gh[a-z]_\w+|sk-\S+|eyJ\S+)[\"']$",
     "iban": r"^(?:AT|BE|BG|CH|CZ|DE|DK|ES|FI|FR|GB|GR|HU|IE|IT|LU|NL|NO|PL|PT|RO|SE|SK)",
-    "ssn": "^$", "local_phone": "^$",
+    "ssn": "^(?!078-05-1120|219-09-9999|123-45-6789|987-65)",  # published sample numbers
+    "local_phone": r"^(?!.*555.01)\(?(?:20[1-9]|21[2-9]|30[1-9]|31[0-9]|40[1-9]|41[0-9]|50[1-9]|51[0-9]|"
+                   r"60[1-9]|61[0-9]|70[1-9]|71[2-9]|80[1-8]|81[0-9]|90[1-9]|91[0-9])",
+    "account": r"^(?:4|5[1-5]|34|37|6011|62|65)",
 }
 #: Words in front of a span that speak for its kind, and words that speak against any.
 CUES = {
@@ -65,16 +79,19 @@ CUES = {
     "ip": r"(?i)(?:\bip|host|server|address|adresse)\W*$",
     "card": r"(?i)(?:card|visa|master|karte|carte|tarjeta|credit)\W*(?:no|number)?\W*$",
     "phone": r"(?i)(?:tel|phone|call|fax|mobile|telefon|tél)\w*\W*$",
-    "secret": r"(?i)(?:secret|private|key|auth)\W*$",
+    "secret": r"(?i)(?:secret|private|key|auth|export|set|config|const)\W*$",
     "iban": r"(?i)(?:iban|konto|account|cuenta|compte)\W*$",
     "ssn": r"(?i)(?:ssn|social security)\W*(?:no|number)?\W*$",
     "local_phone": r"(?i)(?:tel|phone|call|fax|mobile)\w*\W*$",
+    "account": r"(?i)(?:card|visa|account|konto|carte|tarjeta|credit|cuenta|compte)\W*(?:no|number|nr)?\W*$",
 }
 AGAINST = r"(?i)(?:version|v\.|isbn|doi|section|chapter|figure|order|page|license)\W*$"
 #: Characters kept in front of a span; probability from which a looser candidate is reported.
 BEFORE, ACCEPT = 24, 0.8
 ROUNDS, STEPS = 25, 200
 VOTERS = ["strict", "checksum", "gazetteer", "context"]
+#: What the classifier sees besides the votes: length, digits, capitals, what stands before.
+SEEN = ["size", "share", "upper", "place"]
 
 
 def _matches(text: Column, kind: str) -> Column:
@@ -120,20 +137,25 @@ def _checked(spans: DataFrame) -> DataFrame:
     luhn = F.when(n.between(12, 19), _luhn("digits")).otherwise(F.lit(False))
     yes = F.lit(True)
     valid = {"email": yes, "ip": v.rlike(rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"), "card": luhn,
-             "phone": n.between(9, 15)}
-    spans = spans.withColumn("valid", _case(valid | {k: yes for k in KINDS[4:]}))
+             "phone": n.between(9, 15), "account": n.between(12, 19) & ~luhn}
+    spans = spans.withColumn("valid", _case({k: yes for k in KINDS} | valid))
+    distinct = F.size(F.array_distinct(F.split(F.lower(v), "")))
     vote = lambda c: F.when(c, F.lit(1)).otherwise(F.lit(-1))
     return spans.withColumns({
         "strict": _case({k: vote(v.rlike(STRICT[k])) for k in KINDS}),
         "checksum": F.when(F.col("kind").isin("ip", "card", "phone"), vote(F.col("valid")))
+                     .when(F.col("kind") == "account", vote(distinct >= 6))
+                     .when(F.col("kind") == "secret", vote((distinct >= 12) & v.rlike("[0-9]")))
                      .otherwise(F.lit(0)),
-        "gazetteer": _case({k: vote(v.rlike(GAZETTEER[k])) if GAZETTEER[k] != "^$" else F.lit(0)
-                            for k in KINDS}),
+        "gazetteer": _case({k: vote(v.rlike(GAZETTEER[k])) for k in KINDS}),
         "context": F.when(F.col("before").rlike(AGAINST), -1)
                     .when(_case({k: F.col("before").rlike(CUES[k]) for k in KINDS}), 1)
                     .otherwise(F.lit(0)),
         "size": F.least(F.length("value") / 8, F.lit(4)).cast("int"),
-        "share": (4 * F.length("digits") / F.length("value")).cast("int")})
+        "share": (4 * F.length("digits") / F.length("value")).cast("int"),
+        "upper": v.rlike("[A-Z]").cast("int"),
+        "place": F.when(F.length("before") == 0, 0).when(F.col("before").endswith("\n"), 1)
+                  .when(F.col("before").endswith(" "), 2).otherwise(F.lit(3))})
 
 
 def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
@@ -153,8 +175,7 @@ def candidates(scanned: DataFrame) -> DataFrame:
     spans = each.withColumn("end", F.sum(F.col("gap") + F.length("value")).over(
         order.rowsBetween(Window.unboundedPreceding, 0)))
     spans = spans.withColumn("start", F.col("end") - F.length("value"))
-    return _checked(spans).select("row", "kind", "start", "end", "value", "valid", *VOTERS,
-                                  "size", "share")
+    return _checked(spans).select("row", "kind", "start", "end", "value", "valid", *VOTERS, *SEEN)
 
 
 def reliabilities(patterns: dict[tuple, float], rounds: int = ROUNDS) -> dict[tuple, float]:
@@ -188,23 +209,23 @@ def reliabilities(patterns: dict[tuple, float], rounds: int = ROUNDS) -> dict[tu
 
 
 def _features(p: tuple) -> list[str]:
-    kind, *votes, size, share = p
-    return [kind, f"size{size}", f"share{share}"] + [
-        f"{name}{v}" for name, v in zip(VOTERS, votes) if v]
+    kind, votes, seen = p[0], p[1:1 + len(VOTERS)], p[1 + len(VOTERS):]
+    return [kind, *(f"{name}{v}" for name, v in zip(SEEN, seen)),
+            *(f"{name}{v}" for name, v in zip(VOTERS, votes) if v)]
 
 
 def train_classifier(patterns: dict[tuple, float], steps: int = STEPS) -> dict[str, float]:
-    """patterns {(kind, votes ..., size, share): how many spans} -> weights by feature.
+    """patterns {(kind, votes ..., SEEN ...): how many spans} -> weights by feature.
 
     A logistic regression on the probabilities that reliabilities() gives the vote patterns,
     by gradient steps over the distinct patterns."""
-    by_votes: dict[tuple, float] = {}
+    votes, by_votes = 1 + len(VOTERS), {}
     for p, c in patterns.items():
-        by_votes[p[:-2]] = by_votes.get(p[:-2], 0.0) + c
+        by_votes[p[:votes]] = by_votes.get(p[:votes], 0.0) + c
     real = reliabilities(by_votes)
     total = sum(patterns.values())
     weights: dict[str, float] = {f: 0.0 for p in patterns for f in _features(p)}
-    rows = [(_features(p), math.sqrt(c), real[p[:-2]]) for p, c in patterns.items()]
+    rows = [(_features(p), math.sqrt(c), real[p[:votes]]) for p, c in patterns.items()]
     mass = sum(c for _, c, _ in rows) or 1.0
     for _ in range(steps if total else 0):
         step = {f: -0.001 * w for f, w in weights.items()}
@@ -224,7 +245,7 @@ def _probability(weights: dict[str, float]) -> Column:
         if f in KINDS:
             hit = F.col("kind") == f
         else:
-            name = next(n for n in [*VOTERS, "size", "share"] if f.startswith(n))
+            name = next(n for n in [*VOTERS, *SEEN] if f.startswith(n))
             hit = F.col(name) == int(f[len(name):])
         z = z + F.when(hit, F.lit(w)).otherwise(F.lit(0.0))
     return 1 / (1 + F.exp(-z))
@@ -234,11 +255,12 @@ def accepted(spans: DataFrame) -> DataFrame:
     """spans (a written table of candidates()) -> row, k (place in KINDS), kind, start, end,
     base: the valid spans of the base kinds and the candidates that the classifier accepts.
     reach is the largest end among the row's earlier spans."""
-    groups = spans.groupBy("kind", *VOTERS, "size", "share").agg(F.count("*").alias("n")).collect()
+    groups = (spans.where(F.col("valid") | F.col("kind").isin(*BASE)).groupBy("kind", *VOTERS, *SEEN)
+              .agg(F.count("*").alias("n")).collect())
     weights = train_classifier({tuple(r)[:-1]: float(r.n) for r in groups})
     base = F.col("kind").isin(*BASE)
     place = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")) - 1
-    kept = spans.where((base & F.col("valid")) | (~base & (_probability(weights) >= ACCEPT)))
+    kept = spans.where(F.col("valid") & (base | (_probability(weights) >= ACCEPT)))
     kept = kept.select("row", place.cast("int").alias("k"), "kind", "start", "end",
                        base.alias("base"))
     earlier = (Window.partitionBy("row").orderBy("start", "k", "end")

@@ -2,9 +2,10 @@
 
 A text is cut at single spaces. For a byte-level vocabulary whose pattern binds one space
 to the word behind it, such a cut never lies inside a token, unless white space follows the
-space; those rare texts are encoded in one piece by the library. For a vocabulary that drops
-white space every space is such a cut. Each distinct chunk is encoded by the library once
-and kept as little-endian unsigned 32-bit ids, so a document is a join of byte strings."""
+space; those rare texts are encoded in one piece by the library, as are texts that hold one of
+the vocabulary's special strings. For a vocabulary that drops white space every space is such a
+cut. Each distinct chunk is encoded by the library once and kept as little-endian unsigned
+32-bit ids, so a document is a join of byte strings."""
 
 from __future__ import annotations
 
@@ -46,9 +47,7 @@ def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # control strings inside a text are ordinary text
-    return t
+    return Tokenizer.from_file(path)
 
 
 def _latin(word: str) -> bool:
@@ -61,6 +60,8 @@ class ChunkEncoder:
     def __init__(self, path: str, drops_space: bool, limit: int = CACHE_CHUNKS):
         self.tok, self.drops_space, self.limit = tokenizer(path), drops_space, limit
         self.model, self.letters = self.tok.model, byte_letters()
+        #: strings that the library cuts a text at before anything else
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.heads: dict[str, bytes | None] = {}
         self.rest: dict[str, bytes | None] = self.heads if drops_space else {}
         self.marks: dict[str, bytes] = {}
@@ -118,12 +119,16 @@ class ChunkEncoder:
         out: list[bytes] = []
         i = 0
         while i < len(texts):
-            group, chars = [], 0
+            group, chars, whole = [], 0, {}
             while i < len(texts) and (not group or chars + len(texts[i]) <= GROUP_CHARS):
-                group.append(texts[i].split(" "))
+                if any(s in texts[i] for s in self.special):
+                    whole[len(out) + len(group)] = texts[i]
+                group.append([""] if len(out) + len(group) in whole else texts[i].split(" "))
                 chars += len(texts[i])
                 i += 1
             out += self._group(group)
+            for k, text in whole.items():
+                out[k] = self._whole(text)
         return out
 
     def _group(self, group: list[list[str]]) -> list[bytes]:

@@ -74,7 +74,6 @@ def test_large_histograms_reach_the_bound():
 def check_pieces(rows, texts, capacity):
     """rows: the pieces; texts: (doc_id, text). Returns the number of sequences."""
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
     by_seq, by_doc = defaultdict(list), defaultdict(list)
     for r in rows:
         by_seq[r.sequence_id].append((r.offset, r.length))

@@ -23,7 +23,8 @@ EDGE = [
     None, "", " ", "  ", "\n", "a", " a", "a ", "a  b", "a \nb", "a\n b", "a\n \nb", "a  \nb", "\n\na",
     "x y  z", "a  b", "tab\t\tb \t c", "it's we'll I'M 'S x 's", "123 4567a8 9",
     "héllo wörld ñandú ÀÉÎ", "éclair é ́x", "日本語 テキスト です", "😀 😀😀a‍😀", "İstanbul ΣΑΣ ΟΔΟΣ",
-    "<|endoftext|> a<|endoftext|>b <|startoftext|>", "a" * 3000, "ab" * 2000 + " " + "é" * 999,
+    "<|endoftext|> a<|endoftext|>b <|startoftext|>", "end <|endoftext|> go", "x  <|endoftext|>  y",
+    "<|ENDOFTEXT|> <|endoftext", "a<|startoftext|>\n<|endoftext|><|endoftext|> don't", "a" * 3000, "ab" * 2000 + " " + "é" * 999,
     " ".join(["word,", "end.\nNext", "THE!!", "in***", "(x)", "a|b"] * 50), "\x1c\x1d a\x1fb \x85c",
     "x.\n\ny, z.\n w", "don't,\nstop", "...\n...", "µ ŉ ǅ ß", "\r\na \r\n b", "0" * 500, "\x00 \x01a",
 ]
@@ -38,7 +39,6 @@ def tik():
 
 def library(path):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 

@@ -186,20 +186,32 @@ def served_cutoffs(labelled: DataFrame, strata: DataFrame, risk: float = RISK,
     return own.unionByName(lent).select("stratum", "rule", _cutoff(F.col("j")))
 
 
-def _judge(signals: DataFrame, labels: DataFrame, doc_id: Column, lang: Column) -> DataFrame:
-    """Add kept to signals (a written table)."""
-    signals = signals.withColumn("stratum", F.coalesce(lang, F.lit("")))
+#: Languages up to which every task gets the cutoffs, a row each.
+SHARED_STRATA = 10_000
+
+
+def _cuts(signals: DataFrame, labels: DataFrame) -> DataFrame:
+    """signals (doc_id, lang, base_failed, RULES; a written table) and labels -> a written table
+    with a row per language that has a cutoff: stratum, and each rule's cutoff."""
+    signals = signals.withColumn("stratum", F.coalesce("lang", F.lit("")))
     marks = (labels.where(F.col("quality").isNotNull()).groupBy(F.col("doc_id").alias("_id"))
              .agg((F.min("quality") > 0).alias("good")))
-    labelled = signals.select(doc_id.alias("_id"), "stratum", "base_failed", *RULES).join(marks, "_id")
+    labelled = signals.select(F.col("doc_id").alias("_id"), "stratum", "base_failed", *RULES).join(
+        marks, "_id")
     strata = signals.select("stratum").distinct()
-    cuts = served_cutoffs(labelled, strata).groupBy("stratum").agg(*[
-        F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"{r}_cutoff") for r in RULES])
+    return written(served_cutoffs(labelled, strata).groupBy("stratum").agg(*[
+        F.min(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"{r}_cutoff") for r in RULES]))
+
+
+def _with_kept(signals: DataFrame, cuts: DataFrame, lang: Column) -> DataFrame:
+    """Add kept and the cutoffs. Few cutoffs go to every task, so that no row is shuffled."""
+    if cuts.limit(SHARED_STRATA + 1).count() <= SHARED_STRATA:
+        cuts = F.broadcast(cuts)
     over = F.lit(False)
     for r in RULES:
         over = over | F.coalesce(F.col(r) > F.col(f"{r}_cutoff"), F.lit(False))
-    return (signals.join(cuts, "stratum", "left")
-            .withColumn("kept", ~(F.col("base_failed") | over)))
+    return (signals.withColumn("stratum", F.coalesce(lang, F.lit(""))).join(cuts, "stratum", "left")
+            .withColumn("kept", ~(F.col("base_failed") | over)).drop("stratum"))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -211,12 +223,16 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     document, null labels and empty tables change nothing: without certified cutoffs the base
     rule decides alone. Repeated rows are judged alike."""
     narrow = written(with_signals(docs.select("doc_id", "lang", "text")).drop("text"))
-    return _judge(narrow, labels, F.col("doc_id"), F.col("lang")).drop("stratum", "lang")
+    return _with_kept(narrow, _cuts(narrow, labels), F.col("lang")).drop("lang")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that judge() keeps, with all their columns."""
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["text"])
-    rows = written(with_signals(packed).drop("text"))
-    return (_judge(rows, labels, F.col("doc.doc_id"), F.col("doc.lang"))
-            .where("kept").select("doc.*"))
+    """The rows of docs that judge() keeps, with all their columns.
+
+    Only signals are written for the cutoffs; the documents are then read once more and pass
+    in one stage, without being written or shuffled here."""
+    narrow = written(with_signals(docs.select("doc_id", "lang", "text")).drop("text"))
+    cuts = _cuts(narrow, labels)
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    rows = with_signals(packed, "doc.text")
+    return _with_kept(rows, cuts, F.col("doc.lang")).where("kept").select("doc.*")

@@ -15,6 +15,9 @@ from ..session import checkpoint_dir
 #: Folder that holds the package, for Python workers that do not have it on their path.
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+#: Bytes of a row group, which a writing task holds in memory.
+ROW_GROUP = 32 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -32,7 +35,7 @@ def written(df: DataFrame) -> DataFrame:
     columns prunable, so that a second pass reads only what it needs."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -22,7 +22,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, ship, written
+from ..operators.sketches import bucket_filter
+from .common import map_batches, ship, solid, written
 
 #: Labelled rows of each label in the fit, and the longest text among them, in words.
 SAMPLE, SAMPLE_WORDS = 4000, 4000
@@ -36,7 +37,7 @@ LEAST_ROWS = 15
 #: Logits are counted in steps of 1 / STEPS, up to LIMIT on either side.
 STEPS, LIMIT = 256, 30
 #: Words remembered by a Python worker; characters of a text that are read at a time.
-KNOWN_WORDS, BLOCK = 300_000, 2_000_000
+KNOWN_WORDS, BLOCK = 150_000, 300_000
 #: Common function words, for guessing a text's language.
 FUNCTION_WORDS = {
     "de": ["der", "die", "das", "und", "ist", "von", "mit", "den", "nicht", "ein"],
@@ -98,7 +99,7 @@ class Model:
         project = np.concatenate(places, axis=1).astype(np.float32)
         function = sorted({w for ws in FUNCTION_WORDS.values() for w in ws})
         known: dict[str, int] = {}
-        matrix = np.zeros((1 << 12, project.shape[1]), np.float32)
+        matrix = np.zeros((KNOWN_WORDS, project.shape[1]), np.float32)  # memory as it fills
 
         def learn(words):
             nonlocal matrix
@@ -121,10 +122,11 @@ class Model:
             for words, repeated, last in _blocks(text or ""):
                 if not words:
                     continue
-                if len(known) > KNOWN_WORDS:
+                own = set(words)
+                if len(known) + len(own) > KNOWN_WORDS:
                     known.clear()
                     learn(function)
-                learn(set(words))
+                learn(own)
                 ids = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
                 x = np.concatenate([matrix[ids], np.zeros((max(WIDTHS) - 1, project.shape[1]),
                                                           np.float32)])
@@ -292,13 +294,16 @@ def learnable(labels: DataFrame) -> DataFrame:
 
 
 def labelled_sample(docs: DataFrame, marks: DataFrame) -> list[tuple[int, tuple[np.ndarray, int, str]]]:
-    """Ids and rows for fit(): the first SAMPLE of each label by a hash of the id."""
+    """Ids and rows for fit(): the first SAMPLE of each label by a hash of the id; of the rows of
+    one id, the one whose text has the least hash."""
     first = None
     for y in (0, 1):
         part = marks.where(F.col("_toxic") == y).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE)
         first = part if first is None else first.unionByName(part)
     texts = (docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("text"))
              .join(F.broadcast(first), "_id"))  # 2 * SAMPLE rows of two numbers
+    texts = (texts.groupBy("_id").agg(F.min(F.struct(F.xxhash64("text"), "text", "_toxic")).alias("x"))
+             .select("_id", "x.text", "x._toxic"))
 
     def rows(batches):
         for b in batches:
@@ -342,23 +347,23 @@ def logit_column(docs: DataFrame, model: Model, text: str = "text") -> Column:
     return F.arrow_udf(logits, "z double, lang string")(F.col(text))
 
 
-def with_scores(rows: DataFrame, docs: DataFrame, labels: DataFrame, doc_id: Column) -> DataFrame:
-    """rows (text and others, among them doc_id), one per row of docs, with score for text.
-
-    Texts are read through the classifier once. The logits are written, all labelled rows
-    outside the fit choose the cutoffs from them, and no text is shuffled for it."""
-    marks = learnable(labels)
+def _fitted(docs: DataFrame, marks: DataFrame) -> tuple[Model, list]:
     sample = labelled_sample(docs, marks)
-    model = fit([row for _, row in sample])
-    rows = written(rows.withColumn("_l", logit_column(rows, model)).drop("text"))
-    if model.out.any():  # else there was nothing to fit
-        counts = calibration_counts(rows.select(doc_id.alias("_id"), "_l"), marks, sample)
-        if {y for _, _, y, _ in counts} == {0, 1}:
-            model.shift = shifts_of(counts)
+    return fit([row for _, row in sample]), sample
+
+
+def _calibrate(model: Model, logits: DataFrame, marks: DataFrame, sample: list) -> None:
+    """Set the shifts from logits (_id, _l) of all learnable labelled rows outside the fit."""
+    counts = calibration_counts(logits, marks, sample)
+    if {y for _, _, y, _ in counts} == {0, 1}:
+        model.shift = shifts_of(counts)
+
+
+def _score(model: Model) -> Column:
     shifts = F.create_map(*[F.lit(x) for kv in model.shift.items() for x in kv])
     z = F.col("_l.z") + F.coalesce(F.try_element_at(shifts, F.col("_l.lang")), F.lit(model.shift[""]))
     clipped = F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))
-    return rows.withColumn("score", 1 / (1 + F.exp(-clipped))).drop("_l")
+    return (1 / (1 + F.exp(-clipped))).alias("score")
 
 
 def calibration_counts(logits: DataFrame, marks: DataFrame,
@@ -382,13 +387,31 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts are scored like a text without words. Labels are combined by maximum
     when repeated; labels that are null, held out or of no document are not learned from. Too
     few labels give the score one half, an empty table gives no rows."""
-    found = with_scores(docs.select("doc_id", "text"), docs, labels, F.col("doc_id"))
-    return found.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
-                        "score")
+    marks = learnable(labels)
+    model, sample = _fitted(docs, marks)
+    rows = docs.select("doc_id", "text")
+    # texts are read through the classifier once; the written logits choose the cutoffs
+    rows = written(rows.withColumn("_l", logit_column(rows, model)).drop("text"))
+    if model.out.any():  # else there was nothing to fit
+        _calibrate(model, rows.select(F.col("doc_id").alias("_id"), "_l"), marks, sample)
+    return rows.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+                       _score(model))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs scored below CUTOFF, with all their columns."""
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), docs["text"])
-    found = with_scores(packed, docs, labels, F.col("doc.doc_id"))
-    return found.where(F.col("score") < CUTOFF).select("doc.*")
+    """The rows of docs scored below CUTOFF, with all their columns.
+
+    Labelled rows are scored for the cutoffs first; then all documents pass in one stage, without
+    being written or shuffled here. A bucket filter of bounded size takes the rows without a label
+    out before the labels are joined."""
+    marks = learnable(labels)
+    model, sample = _fitted(docs, marks)
+    if model.out.any():
+        rows = docs.select(F.col("doc_id").alias("_id"), "text").withColumn("h", F.xxhash64("_id"))
+        rows = bucket_filter(rows, marks.withColumn("h", F.xxhash64("_id"))).drop("h").join(
+            marks.select("_id"), "_id", "left_semi")
+        logits = written(rows.withColumn("_l", logit_column(rows, model)).drop("text"))
+        _calibrate(model, logits, marks, sample)
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    found = packed.withColumn("_l", solid(logit_column(packed, model, "doc.text")))
+    return found.where(_score(model) < CUTOFF).select("doc.*")

@@ -133,3 +133,20 @@ def q_title_member(spark, sf_dir):
 @register("first_n", "SELECT ord, question FROM qa ORDER BY ord LIMIT 20")
 def q_first_n(spark, sf_dir):
     return P.first_n(fx.qa_items(_t(spark, sf_dir)), 20).select("ord", "question")
+
+
+@register("sketch_profile", """
+SELECT f.field, count(*) AS n_rows, count(DISTINCT CASE f.field WHEN 'text' THEN d.text WHEN 'lang' THEN d.lang
+  ELSE d.source END) AS n_distinct
+FROM documents d CROSS JOIN (VALUES ('text'), ('lang'), ('source')) f(field) GROUP BY f.field""")
+def q_sketch_profile(spark, sf_dir):
+    """Row and distinct counts from a new store of sketches (exact up to 2^16 distinct values)."""
+    import uuid
+
+    from ..operators.profile_store import summary, update
+    from ..session import checkpoint_dir
+
+    store = f"{checkpoint_dir(spark).rstrip('/')}/profile-{uuid.uuid4().hex}"
+    names = ["text", "lang", "source"]
+    update(spark, f"{sf_dir.rstrip('/')}/documents.parquet", store, {n: F.col(n) for n in names})
+    return summary(spark, store, names).select("field", "n_rows", "n_distinct")

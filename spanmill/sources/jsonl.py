@@ -4,6 +4,8 @@ outputs)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,17 +42,38 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system of a path, path class), so that stores other than local disks work too."""
+    jvm = spark.sparkContext._jvm
+    make = jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
 def write_split(df: DataFrame, predicate: Column, valid_path: str, invalid_path: str,
                 columns: list[str] | None = None) -> None:
     """One input, two outputs (rows where the predicate is true / false), optionally
-    restricted to ``columns``. The input is persisted once so it is computed a single time."""
-    kept = df.persist()
-    cols = columns or df.columns
+    restricted to ``columns``. Both sides are written in one pass over the input, into a hidden
+    folder beside the first output that the job's commit completes; only then each side replaces
+    its old output by a rename. A job that fails leaves the old outputs as they were."""
+    spark, cols = df.sparkSession, columns or df.columns
+    staged = f"{valid_path.rstrip('/')}.split-{uuid.uuid4().hex}"
+    fs, make = _file_system(spark, staged)
+    sides = {"valid": valid_path, "invalid": invalid_path}
+    # the guard is always true but not deterministic: the predicate is not evaluated again below
+    side = F.when(F.spark_partition_id() >= 0, F.when(predicate, "valid").when(~predicate, "invalid"))
     try:
-        write_jsonl(kept.filter(predicate).select(*cols), valid_path)
-        write_jsonl(kept.filter(~predicate).select(*cols), invalid_path)
+        (df.select(*cols, side.alias("__side")).where(F.col("__side").isNotNull())
+         .write.partitionBy("__side").option("ignoreNullFields", "false").json(staged))
+        for name, target in sides.items():
+            part = make(f"{staged}/__side={name}")
+            fs.mkdirs(part)  # a side may be empty
+            fs.create(make(f"{staged}/__side={name}/_SUCCESS"), True).close()
+            fs.delete(make(target), True)
+            fs.mkdirs(make(target).getParent())
+            if not fs.rename(part, make(target)):
+                raise OSError(f"cannot move {part} to {target}")
     finally:
-        kept.unpersist()
+        fs.delete(make(staged), True)
 
 
 def to_json_lines(df: DataFrame) -> DataFrame:

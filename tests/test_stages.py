@@ -56,4 +56,4 @@ def test_validation_split_keeps_original_rows(spark):
     assert [x["ord"] for x in v.valid.collect()] == [0]
     assert [x["instruction"] for x in v.invalid.collect()] == ["CONTEXT: b\nQUESTION: q"]
     assert sorted(x["reason"] for x in v.rejects.collect()) == ["bad_separator", "no_verdict"]
-    assert v.judge_prompts.filter(F.col("ord") == 0).first()["prompt"].endswith("Context: a")
+    assert v.judge_prompts.filter(F.col("ord") == 0).first()["prompt"].startswith("Context: a\n")

@@ -181,3 +181,26 @@ FROM tok_counts c CROSS JOIN tok_totals t WHERE c.n_after_number > 0 AND c.type
 def q_follower_scores(spark, sf_dir):
     counts = token_counts(fx.usable_documents(_t(spark, sf_dir)), "text")
     return follower_scores(counts).withColumns({c: F.round(c, 4) for c in ("follower", "starter")})
+
+
+# ---- the functions in Spark SQL alone --------------------------------------------------------
+def _from_sql(query: str):
+    def run(spark, sf_dir):
+        from ..functions.sql import install
+        install(spark)
+        return spark.sql(query.replace("{documents}", f"parquet.`{sf_dir.rstrip('/')}/documents.parquet`"))
+    return run
+
+
+register("sql_sentences", 'SELECT doc_id, i, start, "end", text FROM sentences')(_from_sql("""
+SELECT doc_id, CAST(e.i AS BIGINT) AS i, CAST(e.start AS BIGINT) AS start, CAST(e.end AS BIGINT) AS end, e.text
+FROM (SELECT doc_id, sm_sentences(text) AS s FROM {documents}) LATERAL VIEW inline(s) e"""))
+register("sql_text_functions", f"""
+SELECT doc_id, length({O.strip_sql('text')})::BIGINT AS n_stripped, {O.tokens_sql('text')}::BIGINT AS n_tokens,
+  (length(text) - length(replace(text, 'e', '')))::BIGINT AS n_e, {_sw('source')} AS one_word,
+  coalesce(substr(text, 1, 3) = substr(text, 1, 3) AND length(text) > 0, false) AS begins
+FROM udocs""")(_from_sql("""
+SELECT doc_id, CAST(length(sm_strip(text)) AS BIGINT) AS n_stripped,
+  CAST(sm_token_estimate(text) AS BIGINT) AS n_tokens, CAST(sm_char_count(text, 'e') AS BIGINT) AS n_e,
+  sm_is_single_word(source) AS one_word, sm_offset_ok(text, substr(text, 1, 3), 0) AS begins
+FROM {documents} WHERE text IS NOT NULL"""))

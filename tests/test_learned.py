@@ -114,3 +114,32 @@ def test_entry_without_the_optional_libraries():
     code = ("import sys\nsys.modules['tokenizers'] = None\nsys.modules['xxhash'] = None\n"
             "import __spark_entry__ as e\nassert 'subset_rows' in e.queries() and 'pipeline' not in e.queries()")
     subprocess.run([sys.executable, "-c", code], check=True, cwd=__file__.rsplit("/tests/", 1)[0])
+
+
+def test_sql_functions(spark):
+    from spanmill.functions.sql import install
+
+    assert "sm_sentences" in install(spark) and install(spark)  # again: nothing to complain about
+    row = spark.sql(r"""SELECT sm_strip('\u0085 a b \n') AS s, sm_is_digits('12²') AS d, sm_is_digits('') AS e,
+        sm_is_single_word(' x ') AS w, sm_is_single_word('x y') AS v, sm_token_estimate('a, b') AS t,
+        sm_char_count('a=b=c', '=') AS c, sm_offset_ok('abc', 'bc', 1) AS o, sm_offset_ok('abc', 'x', -1) AS p,
+        sm_prefix_sums(array(3, 4, 5)) AS q, sm_strip(NULL) AS n""").first()
+    assert tuple(row) == ("a b", True, False, True, False, 3, 2, True, False, [0, 3, 7], None)
+    spark.createDataFrame([(1, "One. Two!  Three"), (2, None), (3, ""), (4, "x. y.")],
+                          "id long, t string").createOrReplaceTempView("sm_texts")
+    rows = "SELECT id, e.* FROM (SELECT {} AS id, sm_sentences({}) AS s FROM {}) LATERAL VIEW inline(s) e"
+    got = spark.sql(rows.format("id", "t", "sm_texts") + " ORDER BY id, i")
+    assert [tuple(r) for r in got.collect()] == [(1, 0, 0, 4, "One."), (1, 1, 5, 9, "Two!"), (1, 2, 11, 16, "Three"),
+                                                 (3, 0, 0, 0, ""), (4, 0, 0, 5, "x. y.")]
+    plan = spark.sql(rows.format("doc_id", "text", "parquet.`/root/testdata/sf0.001/documents.parquet`"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Join" not in plan
+
+
+def test_sql_sentences_of_a_long_text(spark):
+    from spanmill.functions.sql import install
+
+    install(spark)
+    spark.createDataFrame([("Ein Satz. " * 20_000,)], "t string").createOrReplaceTempView("sm_long")
+    r = spark.sql("SELECT count(*) AS n, max(e.start) AS last FROM (SELECT sm_sentences(t) AS s FROM sm_long) "
+                  "LATERAL VIEW inline(s) e").first()
+    assert (r.n, r.last) == (20_000, 199_990)

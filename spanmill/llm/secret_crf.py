@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import map_batches, written
 
 #: The kinds in their order within one start; the last one is the field's own.
 KINDS = ["assign", "access", "hex", "crf"]
@@ -258,8 +258,8 @@ def _training_rows(docs: DataFrame, limit: int) -> list:
                             pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.int64(), pa.int64(),
                             pa.list_(pa.int64())))], names)
 
-    found = map_batches(rows, windows, "h long, secret boolean, text string, start long, end long, "
-                                       "key long, facts array<long>")
+    found = written(map_batches(rows, windows, "h long, secret boolean, text string, start long, "
+                                               "end long, key long, facts array<long>"))
     order = ["h", "start", "end"]
     picked = []
     for secret in (True, False):

@@ -403,13 +403,12 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Labelled rows are scored for the cutoffs first; then all documents pass in one stage, without
     being written or shuffled here. A bucket filter of bounded size takes the rows without a label
-    out before the labels are joined."""
+    out, all but a few, before they are scored; the labels are joined to logits, not to texts."""
     marks = learnable(labels)
     model, sample = _fitted(docs, marks)
     if model.out.any():
         rows = docs.select(F.col("doc_id").alias("_id"), "text").withColumn("h", F.xxhash64("_id"))
-        rows = bucket_filter(rows, marks.withColumn("h", F.xxhash64("_id"))).drop("h").join(
-            marks.select("_id"), "_id", "left_semi")
+        rows = bucket_filter(rows, marks.withColumn("h", F.xxhash64("_id"))).drop("h")
         logits = written(rows.withColumn("_l", logit_column(rows, model)).drop("text"))
         _calibrate(model, logits, marks, sample)
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))

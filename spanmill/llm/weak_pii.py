@@ -275,8 +275,11 @@ def _found(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
         F.struct("start", "k", "end", "kind", "base", "reach"))).alias("spans"))
     none = F.array().cast("array<struct<start:bigint,k:int,end:bigint,kind:string,base:boolean,"
                           "reach:bigint>>")
-    return scanned, scanned.drop("found").join(by_row, "row", "left").withColumn(
-        "spans", F.coalesce("spans", none))
+    # only rows with a match meet the spans; the others, nearly all, are not shuffled
+    some = scanned.where(F.size("found") > 0).drop("found").join(by_row, "row", "left")
+    return scanned, some.unionByName(
+        scanned.where(F.size("found") == 0).drop("found").withColumn("spans", none)
+    ).withColumn("spans", F.coalesce("spans", none))
 
 
 def find(docs: DataFrame) -> DataFrame:

@@ -6,8 +6,8 @@ so the shorter it is and the more dots it has inside, the less so the more often
 A dot after a number ends no sentence in front of a word that follows numbers with dots more often
 than chance (a month, say), unless the word is one that begins sentences.
 
-All counts are sums over tokens, so partial ones add up; texts are read once for each of the two
-tables and only counts are shuffled. What is learned goes into the boundary pattern of
+All counts are sums over tokens, so partial ones add up; texts are read once for both tables and
+only counts are shuffled. What is learned goes into the boundary pattern of
 ``with_sentences`` (functions/sentences.py), the MOST best entries of each kind."""
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WS
+from ..session import cut_lineage
 from .ranking import scalar
 
 #: Scores from which a word is an abbreviation, a follower of numbers, and a sentence starter.
@@ -37,29 +38,45 @@ class Learned:
     followers: tuple[str, ...] = ()
 
 
-def _tokens(texts: DataFrame, text: str) -> DataFrame:
-    """type, dot (one dot behind it), after_dot, after_number (the token before is one with a dot,
-    or a number with a dot): a row per white-space separated token with a letter or digit."""
-    raw = F.filter(F.transform(
-        F.split(F.col(text), f"{WS}+"),
-        lambda w: F.regexp_replace(F.regexp_replace(w, r"^[^\p{L}\p{N}]+", ""), r"[^\p{L}\p{N}.]+$", "")),
-        lambda w: w != "")
+def _trimmed(word: Column) -> Column:
+    """A word without the marks around it, except dots behind it."""
+    return F.regexp_replace(F.regexp_replace(word, r"^[^\p{L}\p{N}]+", ""), r"[^\p{L}\p{N}.]+$", "")
+
+
+def _kind(c: str) -> Column:
+    return F.regexp_replace(F.lower(c), r"\.+$", "")
+
+
+def _dotted(c: str) -> Column:
+    return F.col(c).rlike(r"[^.]\.$")
+
+
+def _raw_counts(texts: DataFrame, text: str) -> DataFrame:
+    """t (a white-space separated token with a letter or digit, as it stands), after (0; 1 behind
+    a token with one dot; 2 if that is a number), n. Few tokens have a dot: only those are taken
+    apart here, where every token passes."""
+    raw = F.filter(F.split(F.col(text), f"{WS}+"), lambda w: w.rlike(r"[\p{L}\p{N}]"))
     d = texts.select(raw.alias("w")).withColumn("w", F.when(F.spark_partition_id() >= 0, F.col("w")))
     each = d.select(F.posexplode("w").alias("i", "t"), F.col("w").alias("all")).select(
-        "t", F.coalesce(F.get("all", F.col("i") - 1), F.lit("")).alias("p"))
-    dotted = lambda c: F.col(c).rlike(r"[^.]\.$")
-    kind = lambda c: F.regexp_replace(F.lower(c), r"\.+$", "")
-    numbered = lambda c: kind(c).rlike(NUMBER_RE)
-    return each.select(
-        F.when(numbered("t"), F.lit(NUMBER)).otherwise(kind("t")).alias("type"), dotted("t").alias("dot"),
-        dotted("p").alias("after_dot"), (dotted("p") & numbered("p")).alias("after_number"))
+        "t", F.get("all", F.col("i") - 1).alias("p"))
+    p = _trimmed(F.col("p"))
+    dotted = p.rlike(r"[^.]\.$")
+    number = F.regexp_replace(F.lower(p), r"\.+$", "").rlike(NUMBER_RE)
+    after = F.when(F.col("p").isNull() | ~F.contains("p", F.lit(".")), 0).when(~dotted, 0).when(
+        number, 2).otherwise(1)
+    return each.groupBy("t", after.alias("after")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def token_counts(texts: DataFrame, text: str) -> DataFrame:
-    """type, n, n_dot, n_after_dot, n_after_number: the sums that all scores are made of."""
-    one = lambda c: F.count_if(F.col(c)).alias(f"n_{c}")
-    return _tokens(texts, text).groupBy("type").agg(
-        F.count(F.lit(1)).alias("n"), one("dot"), one("after_dot"), one("after_number"))
+    """type, n, n_dot, n_after_dot, n_after_number: the sums that all scores are made of. Every
+    score takes totals of them besides the rows, so they are kept and the texts read once."""
+    d = _raw_counts(texts, text).select(_trimmed(F.col("t")).alias("t"), "after", "n")
+    d = d.select(F.when(_kind("t").rlike(NUMBER_RE), F.lit(NUMBER)).otherwise(_kind("t")).alias("type"),
+                 _dotted("t").alias("dot"), "after", "n")
+    one = lambda c, name: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).alias(name)
+    return cut_lineage(d.groupBy("type").agg(
+        F.sum("n").alias("n"), one(F.col("dot"), "n_dot"), one(F.col("after") > 0, "n_after_dot"),
+        one(F.col("after") == 2, "n_after_number")))
 
 
 def _likelihood(k: Column, n: Column, p: Column) -> Column:

@@ -61,6 +61,17 @@ def test_counts_of_the_learner(spark):
     assert A.learn(empty, "t") == A.Learned()
 
 
+def test_texts_are_counted_once(spark):
+    """Scores take totals besides the counts; the texts are not taken apart again for each."""
+    texts = ["Am 3. Mai z.B. kam er. Am 4. Mai ging er.", "- -- Nr. 7 ... 8. (Mai) ...", "", "x.. 5. .. mai"]
+    counts = A.token_counts(spark.createDataFrame([(t,) for t in texts], "t string"), "t")
+    for scores in (A.follower_scores(counts), A.abbreviation_scores(counts)):
+        assert "Generate" not in scores._jdf.queryExecution().toString()
+    got = {r.type: tuple(r)[1:] for r in counts.collect()}
+    assert got["mai"] == (4, 0, 4, 4) and got["##"] == (5, 4, 1, 0) and got["nr"] == (1, 1, 0, 0)
+    assert got["x"] == (1, 0, 0, 0) and got["am"] == (2, 0, 1, 0) and "" not in got
+
+
 def test_words_are_taken_literally(spark):
     learned = A.Learned(("a.b", "x+", "\\E"), ("mai(",))
     df = spark.createDataFrame([("Der a.b. Hund. Ein axb. Hund x+. Ja \\E. Gut 3. Mai( 3. Mai",)], "t string")

@@ -1,5 +1,6 @@
 """Sketches, rules as a table, anchors of the containment join, signatures of near duplicates."""
 
+import collections
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spanmill.operators import neardup as N
 from spanmill.operators.containment import anchor_join, anchors
+import spanmill.operators.rules as rules_module
 from spanmill.operators.rules import exclude_by_table, pattern_hits, rule_table_counts
 from spanmill.operators.sketches import bucket_filter, frequencies, rarest, with_frequency
 
@@ -62,6 +64,27 @@ def test_rule_table_against_contains(spark):
     assert pattern_hits(ts.limit(0), rs).count() == 0 and pattern_hits(ts, rs.limit(0)).count() == 0
 
 
+def test_equal_texts_are_searched_once(spark, monkeypatch):
+    items = spark.createDataFrame(
+        [(i % 290 if i % 7 else None, "t", f"w{i % 3} und mehr", f"Wer kam am Tag {i % 4}?") for i in range(300)],
+        "ord long, title string, a string, question string").selectExpr(
+        "ord", "question", "array(a) answers", "struct(array(title) title, array('') text) positive_ctxs")
+    rows = [(k % 40, f, p) for k, (f, p) in enumerate(
+        [("answer", "w1 und"), ("question", "Tag 2"), ("answer", "nie"), ("question", ""), ("title", "x")] * 20)]
+    rows += [(0, "question", "Tag 3"), (0, "answer", "w2"), (50, None, "w1"), (51, "answer", None), (None, "answer", "w1")]
+    rules = spark.createDataFrame(rows, "rule_no long, field string, pattern string")
+    have = [(r.ord, {"answer": r.answers[0], "question": r.question, "title": "t"}) for r in items.collect()]
+    hits = {(o, n) for o, t in have for n, f, p in rows if o is not None and f and p is not None and p in t[f]}
+    want = {n: sum(m == n for _, m in hits) if n is not None else 0 for n, _, _ in rows}
+    searched, whole = [], rules_module.rarest
+    monkeypatch.setattr(rules_module, "rarest", lambda c, r, *a: searched.append(r.count()) or whole(c, r, *a))
+    assert {r.rule_no: r.hits for r in rule_table_counts(items, rules).collect()} == want
+    kept = [r.ord for r in exclude_by_table(items, rules.where("pattern <> ''")).collect()]
+    gone = {o for o, t in have for n, f, p in rows if o is not None and f and p and p in t[f]}
+    assert collections.Counter(kept) == collections.Counter(o for o, _ in have if o not in gone)
+    assert max(searched) < 300
+
+
 def test_a_hundred_thousand_rules(spark):
     words = spark.range(100_000).select(
         F.col("id").alias("rule_no"), F.lit("question").alias("field"),

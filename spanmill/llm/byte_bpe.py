@@ -86,31 +86,33 @@ class Vocabulary:
             return [whole]
         rank_of, queue, n = self.ranks.get, self.queue, len(piece)
         push = queue.push
-        end = list(range(1, n + 1))  # the part at i is piece[i:end[i]]; end 0: merged away
+        end = list(range(1, n + 1))  # the part at i is piece[i:end[i]]
         left = list(range(-1, n - 1))
-        for i in range(n - 1):
-            rank = rank_of(piece[i:i + 2])
+        now = [rank_of(piece[i:i + 2]) for i in range(n - 1)]  # at which i's part and the next merge
+        now.append(None)
+        for i, rank in enumerate(now):
             if rank is not None:
                 push(rank, i)
-        while (top := queue.pop()) is not None:
-            rank, bucket = top
+        pop = queue.pop
+        while queue.upper:
+            rank, bucket = pop()
             for k, i in enumerate(bucket):
+                if now[i] != rank:
+                    continue  # stale: merged away, or one of the two parts has changed
                 mid = end[i]
-                if not mid or mid >= n:
-                    continue  # stale: merged away, or the last part
                 stop = end[mid]
-                if rank_of(piece[i:stop]) != rank:
-                    continue  # stale: one of the two parts has changed
-                end[i], end[mid], lower = stop, 0, False
+                end[i], now[mid], lower = stop, None, False
                 if stop < n:
                     left[stop] = i
-                    after = rank_of(piece[i:end[stop]])
+                    now[i] = after = rank_of(piece[i:end[stop]])
                     if after is not None:
                         push(after, i)
                         lower = after < rank
+                else:
+                    now[i] = None
                 before = left[i]
                 if before >= 0:
-                    joined = rank_of(piece[before:stop])
+                    now[before] = joined = rank_of(piece[before:stop])
                     if joined is not None:
                         push(joined, before)
                         lower = lower or joined < rank

@@ -222,3 +222,19 @@ def test_whole_table_store(spark, sf_dir):
     rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
     got = sorted(tuple(r) for r in QUERIES["op9_token_store"](spark, sf_dir).collect())
     assert got == brute_store(rows)
+
+
+def test_stale_entries_need_no_lookup(monkeypatch):
+    """Lookups follow the merges; an entry of the queue is checked without one."""
+    class Counted(dict):
+        looked = 0
+
+        def get(self, key, default=None):
+            Counted.looked += 1
+            return dict.get(self, key, default)
+
+    ranks = Counted({bytes([c]): c for c in range(256)} | {b"ab": 256, b"abab": 257, b"abababab": 258})
+    vocab = B.Vocabulary(ranks, r".+")
+    assert vocab.encode_piece(b"ab" * 63) == [258] * 15 + [257, 256]
+    merges = 63 + 31 + 15
+    assert Counted.looked <= 1 + 125 + 2 * merges

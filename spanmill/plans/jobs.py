@@ -25,7 +25,7 @@ from .subset import build_subset, subset_summary
 
 def subset_job(spark: SparkSession, sf_dir: str, out: str, opts: SubsetOptions = SubsetOptions()) -> None:
     t = Tables(spark, sf_dir, materialize=True)
-    r = build_subset(fx.qa_items(t), fx.spans(t), opts, materialize=True)
+    r = build_subset(fx.keyed_items(t), fx.keyed_spans(t), opts, materialize=True, texts=fx.qa_texts(t))
     write_jsonl(r.rows.select("question", "answer_span", "sentence_context", "ord"), f"{out}/subset")
     write_jsonl(r.rejects.unionByName(fx.document_rejects(t)), f"{out}/subset_rejects")
     write_jsonl(subset_summary(r.cut), f"{out}/subset_summary")
@@ -54,7 +54,8 @@ def dataset_job(spark: SparkSession, sf_dir: str, out: str, opts: AssembleOption
                           + list(INSTRUCTION_SCHEMA.fields))
     rows, bad_lines = read_jsonl(spark, f"{out}/{source}", schema, "read")
     t = Tables(spark, sf_dir, materialize=True)
-    r = build_dataset(spark, rows, fx.items_with_negatives(t), opts)
+    negatives = fx.negative_ids(t).withColumnRenamed("doc_id", "ord")
+    r = build_dataset(spark, rows, fx.keyed_items(t), fx.qa_texts(t), negatives, opts)
     write_jsonl(r.rows.select("contexts", "question", "answer", "positive_ctx_idx", "pass", "i"), f"{out}/dataset")
     write_jsonl(r.rejects.unionByName(bad_lines), f"{out}/dataset_rejects")
 

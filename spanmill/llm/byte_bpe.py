@@ -4,7 +4,9 @@ A pre-token is a linked list of parts. Each rank has a bucket of list positions
 its right neighbour merge at that rank. A bitmap in words of 256 bits marks the ranks with a
 bucket, a second level marks the words that are not zero; finding the first set bit of both gives
 the next rank in constant time. Its bucket is worked off from left to right, and entries whose
-parts have changed since are skipped. Every merge touches two neighbours, so a pre-token of n
+parts have changed since are skipped. A pair is
+entered only while its rank is below the left neighbour's and not above the right one's: the next to
+merge is always such a pair. Every merge touches two neighbours, so a pre-token of n
 bytes takes about n steps, however long it is.
 
 A text is cut at single spaces, which never lie inside a pre-token unless white space follows;
@@ -30,6 +32,10 @@ from .encoders import MARKS
 CACHE_CHUNKS, GROUP_CHARS = 600_000, 4_000_000
 
 
+#: Rank of a pair that never merges.
+NEVER = 1 << 60
+
+
 class RankQueue:
     """Positions by rank; pop() gives the least rank's positions in ascending order."""
 
@@ -79,44 +85,63 @@ class Vocabulary:
         for b, r in ranks.items():
             self.bytes_of[r] = b
         self.queue = RankQueue(len(self.bytes_of))  # empty between pre-tokens
+        self.pairs = [[NEVER] * 256 for _ in range(256)]
+        for b, r in ranks.items():
+            if len(b) == 2:
+                self.pairs[b[0]][b[1]] = r
 
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        rank_of, queue, n = self.ranks.get, self.queue, len(piece)
+        rank_of, queue, pairs, n = self.ranks.get, self.queue, self.pairs, len(piece)
         push = queue.push
         end = list(range(1, n + 1))  # the part at i is piece[i:end[i]]
         left = list(range(-1, n - 1))
-        now = [rank_of(piece[i:i + 2]) for i in range(n - 1)]  # at which i's part and the next merge
-        now.append(None)
+        now = [pairs[a][b] for a, b in zip(piece, piece[1:])]  # at which i's part and the next merge
+        now.append(NEVER)
+        before = NEVER
         for i, rank in enumerate(now):
-            if rank is not None:
+            if before > rank <= now[i + 1]:
                 push(rank, i)
+            before = rank
         pop = queue.pop
         while queue.upper:
             rank, bucket = pop()
             for k, i in enumerate(bucket):
                 if now[i] != rank:
                     continue  # stale: merged away, or one of the two parts has changed
-                mid = end[i]
-                stop = end[mid]
-                end[i], now[mid], lower = stop, None, False
-                if stop < n:
-                    left[stop] = i
-                    now[i] = after = rank_of(piece[i:end[stop]])
-                    if after is not None:
+                while True:
+                    mid = end[i]
+                    stop = end[mid]
+                    end[i], after, was = stop, NEVER, now[mid]
+                    now[mid] = NEVER
+                    if stop < n:
+                        left[stop] = i
+                        after = rank_of(piece[i:end[stop]], NEVER)
+                    now[i] = after
+                    before, joined = left[i], NEVER
+                    if before >= 0:
+                        old = now[before]
+                        now[before] = joined = rank_of(piece[before:stop], NEVER)
+                        least = now[left[before]] if before else NEVER
+                        if least > joined <= after and joined < NEVER:
+                            push(joined, before)
+                        elif old < least <= joined and least < NEVER:  # no longer held up by its right
+                            second = left[left[before]]
+                            if second < 0 or now[second] > least:
+                                push(least, left[before])
+                    follow = now[stop] if stop < n else NEVER
+                    if joined > after <= follow and after < NEVER:
                         push(after, i)
-                        lower = after < rank
-                else:
-                    now[i] = None
-                before = left[i]
-                if before >= 0:
-                    now[before] = joined = rank_of(piece[before:stop])
-                    if joined is not None:
-                        push(joined, before)
-                        lower = lower or joined < rank
-                if lower:  # a lesser rank has come up: it goes before the rest of the bucket
+                    if not (was <= follow < after and follow <= now[end[stop]]):
+                        break
+                    # no longer held up by its left; of the same rank, it is the next in order
+                    if follow > rank or joined < rank:
+                        push(follow, stop)
+                        break
+                    i = stop
+                if joined < rank or after < rank:  # a lesser rank goes before the rest of the bucket
                     for rest in bucket[k + 1:]:
                         push(rank, rest)
                     break

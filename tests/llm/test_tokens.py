@@ -238,3 +238,26 @@ def test_stale_entries_need_no_lookup(monkeypatch):
     assert vocab.encode_piece(b"ab" * 63) == [258] * 15 + [257, 256]
     merges = 63 + 31 + 15
     assert Counted.looked <= 1 + 125 + 2 * merges
+
+
+def test_only_least_pairs_enter_the_queue(monkeypatch):
+    """A pair enters the queue while its rank is below its neighbours'; any rank order merges right."""
+    pushed = []
+    push = B.RankQueue.push
+    monkeypatch.setattr(B.RankQueue, "push", lambda q, *item: (pushed.append(item), push(q, *item)))
+    rnd, letters = random.Random(7), [bytes([c]) for c in range(256)]
+    ranks = {b: i for i, b in enumerate([*letters, b"ab", b"cd", b"abcd"])}
+    assert B.Vocabulary(ranks, ".+").encode_piece(b"abcd" * 50) == [258] * 50
+    assert len(pushed) <= 3 * 50
+    for _ in range(60):
+        words = list({bytes(rnd.choices(b"abc", k=rnd.randint(2, 6))) for _ in range(rnd.randint(1, 25))})
+        order = letters + words
+        rnd.shuffle(order)
+        ranks = {b: i for i, b in enumerate(order)}
+        vocab = B.Vocabulary(ranks, ".+")
+        for piece in (bytes(rnd.choices(b"abc", k=rnd.randint(1, 40))) for _ in range(8)):
+            parts = [piece[i:i + 1] for i in range(len(piece))]
+            while pairs := [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]:
+                i = min(pairs)[1]
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            assert vocab.encode_piece(piece) == ([ranks[piece]] if piece in ranks else [ranks[p] for p in parts])

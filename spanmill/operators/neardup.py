@@ -3,11 +3,11 @@
 The rule: a row is dropped if any row with a smaller id has a cosine similarity of at least
 ``threshold`` to it, whether or not that row is itself kept. Equal vectors are collapsed first, so
 a large group of copies costs one row. The others meet through cells: every vector lives in the
-cell of its nearest pivot and in the ring of its angle to that pivot. With r the angle of the
-threshold, a vector within r of x lives in a cell p with angle(x, p) <= angle(x, nearest) + 2r,
-and its angle to p differs from x's by at most r (the triangle inequality holds for angles). So x
-visits those cells, three rings in each, and the exact cosine decides. Pivots are a fixed number
-of rows chosen by a hash of their ids, whatever the input's size.
+cell of its nearest pivot. With r the angle of the threshold, a vector within r of x lives in a
+cell p with angle(x, p) <= angle(x, nearest) + 2r (the triangle inequality holds for angles). So x
+visits those cells, and the exact cosine decides. A cell is dealt into blocks of bounded size; a
+task holds one block and streams its visitors past it, as matrix products. Pivots are a fixed
+number of rows chosen by a hash of their ids, whatever the input's size.
 
 In many dimensions the bounds of this exact mode hardly exclude a cell, and it compares most pairs.
 ``mode="signatures"`` does not: see signature_near_duplicates(). It drops only rows that the rule
@@ -27,8 +27,11 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 PIVOTS = 24
-#: Rounding of angles near a cell's or ring's edge must not lose a pair.
+#: Rounding of angles near a cell's edge must not lose a pair.
 SLACK = 1e-6
+#: Rows of a cell that meet as one matrix, visitors multiplied with them at a time, and how far the
+#: matrix product may be from the sum in order.
+BLOCK_ROWS, VISIT_ROWS, ROUNDING = 4096, 512, 1e-9
 
 
 def _guarded(col: Column) -> Column:
@@ -82,18 +85,69 @@ def exact_close(units: DataFrame, threshold: float) -> DataFrame:
     placed = units.withColumn("pivots", _guarded(pivots.scalar())).withColumn(
         "angles", _guarded(F.transform("pivots", lambda p: _angle(F.col("u"), p["u"])))).drop("pivots")
     near = F.array_min("angles")
-    home = placed.select(
-        F.col("id").alias("home_id"), F.col("u").alias("home_u"),
-        (F.array_position("angles", near) - 1).cast("int").alias("cell"),
-        F.floor(near / r).cast("int").alias("ring"))
+    home = placed.select("id", "u", (F.array_position("angles", near) - 1).cast("int").alias("cell")).where(
+        F.col("cell").isNotNull())
     cells = F.filter(F.transform("angles", lambda a, i: F.struct(i.alias("cell"), a.alias("a"))),
                      lambda c: c["a"] <= near + 2 * r)
-    visits = (placed.select("id", "u", F.explode(cells).alias("c"))
-              .select("id", "u", "c.cell", F.explode(F.transform(
-                  F.array(F.lit(-1), F.lit(0), F.lit(1)),
-                  lambda d: F.floor(F.col("c.a") / r).cast("int") + d)).alias("ring")))
-    return (visits.join(home, ["cell", "ring"]).filter(F.col("home_id") < F.col("id"))
-            .filter(_dot(F.col("u"), F.col("home_u")) >= threshold).select("id").distinct())
+    sizes = home.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("parts"))
+    dim = F.size("u").alias("dim")  # vectors of different lengths have no cosine
+    sizes = F.broadcast(sizes)  # a row per pivot at most
+    homes = home.join(sizes, "cell").select(
+        "id", "u", "cell", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"), dim, F.lit(False).alias("visits"))
+    visits = placed.select("id", "u", F.explode(F.transform(cells, lambda c: c["cell"])).alias("cell")).join(
+        sizes, "cell").select("id", "u", "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                              dim, F.lit(True).alias("visits"))
+    tasks = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = homes.unionByName(visits).repartition(tasks, "cell", "part").sortWithinPartitions("cell", "part", "dim", "visits")
+    kind = units.schema["id"].dataType.simpleString()
+    return met.mapInArrow(_met_blocks(threshold), f"id {kind}").distinct()
+
+
+def _met_blocks(threshold: float):
+    """Batches of (id, u, cell, part, dim, visits), a block's own rows first: the ids of visitors with an
+    earlier row of the block within the threshold. Products near it are summed anew in the order of
+    the vector, so that the matrix product's rounding decides nothing. Not a number counts as close,
+    as in Spark's comparison."""
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, ids, rows = None, [], []
+        for b in batches:
+            id_, visits = b.column("id").to_numpy(zero_copy_only=False), b.column("visits").to_numpy(zero_copy_only=False)
+            keys = np.stack([b.column(k).to_numpy() for k in ("cell", "part", "dim")])
+            turns = np.flatnonzero((np.diff(keys) != 0).any(0) | (np.diff(visits.astype(int)) != 0)) + 1
+            found = []
+            for lo, hi in zip([0, *turns], [*turns, b.num_rows]):
+                if hi == lo:
+                    continue
+                if block != (at := tuple(keys[:, lo])):
+                    block, ids, rows = at, [], []
+                u = b.column("u").slice(lo, hi - lo).flatten().to_numpy().reshape(hi - lo, at[2])
+                if not visits[lo]:
+                    ids.append(id_[lo:hi])
+                    rows.append(u)
+                    continue
+                if not ids:
+                    continue
+                if len(ids) > 1:
+                    ids, rows = [np.concatenate(ids)], [np.concatenate(rows)]
+                for k in range(0, hi - lo, VISIT_ROWS):
+                    found.append(_close_rows(id_[lo + k:min(hi, lo + k + VISIT_ROWS)], u[k:k + VISIT_ROWS],
+                                             ids[0], rows[0], threshold))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found), b.schema.field("id").type)], ["id"])
+
+    return met
+
+
+def _close_rows(ids: np.ndarray, u: np.ndarray, home_ids: np.ndarray, home: np.ndarray,
+                threshold: float) -> np.ndarray:
+    earlier = home_ids[None, :] < ids[:, None]
+    products = u @ home.T
+    close = (earlier & ~(products < threshold + ROUNDING)).any(1)
+    x, y = np.nonzero(earlier & (np.abs(products - threshold) <= ROUNDING) & ~close[:, None])
+    for k in range(0, len(x), BLOCK_ROWS):
+        a, b = x[k:k + BLOCK_ROWS], y[k:k + BLOCK_ROWS]
+        close[a[np.add.accumulate(u[a] * home[b], axis=1)[:, -1] >= threshold]] = True
+    return ids[close]
 
 
 #: Signature mode: probability with which a pair exactly at the threshold shares a cell; most rows
@@ -121,14 +175,15 @@ def _planes(dim: int, bits: int, tables: int) -> tuple[np.ndarray, np.ndarray]:
 
 def signatures(units: DataFrame, threshold: float) -> tuple[DataFrame, int]:
     """units (id, u) -> (id, codes: a cell number per table, sketch: 64-bit words), and the bits
-    of a code. A plane is moved to the median of a bounded sample, so that vectors with a common
-    part still spread over the cells. Vectors of another length than the sample's raise."""
+    of a code. A plane is moved to the mean of a bounded sample, so that vectors with a common
+    part still spread over the cells (the median would cut through a group of near copies that
+    holds most rows). Vectors of another length than the sample's raise."""
     sample = units.orderBy(F.xxhash64("id"), "id").limit(OFFSET_ROWS).select("u").toArrow()
     vectors = sample["u"].to_pylist()
     dim = len(vectors[0]) if vectors else 1
     bits, tables = signature_sizes(units.count(), threshold)
     planes, sketch = _planes(dim, bits, tables)
-    offsets = np.median(np.array(vectors) @ planes, 0) if vectors else np.zeros(bits * tables)
+    offsets = np.mean(np.array(vectors) @ planes, 0) if vectors else np.zeros(bits * tables)
     weights = np.left_shift(np.int64(1), np.arange(bits, dtype=np.int64))
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

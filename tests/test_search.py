@@ -183,3 +183,24 @@ def test_signature_sizes_reach_the_recall():
         p = np.arccos(threshold) / np.pi
         one = (1 - p) ** bits + bits * p * (1 - p) ** (bits - 1)
         assert 1 - (1 - one) ** tables >= N.RECALL and tables * (bits + 1) < n / 10
+
+
+def test_exact_mode_meets_in_blocks(spark, monkeypatch):
+    """Small blocks, several batches, products at the threshold, odd vectors; no pair of rows is joined."""
+    r = np.random.default_rng(9)
+    centre = r.normal(size=16)
+    v = np.concatenate([centre + r.normal(size=(300, 16)) * 0.1, r.normal(size=(300, 16)), np.zeros((2, 16))])
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(9000, None), (9001, [1.0, 0.0]), (9002, [0.9, 0.1])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    want = brute_dropped(v[:-2], 0.9) | {9002}
+    monkeypatch.setattr(N, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(N, "VISIT_ROWS", 7)
+    got = N.near_duplicates(df, "id", "v", 0.9, "exact")
+    assert {x.id for x in got.collect()} == want
+    assert "home_id" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_products_near_the_threshold_are_summed_in_order():
+    home, u = np.array([[1.0, 0.0]]), np.array([[0.9, 0.0], [0.9 - 1e-12, 0.0], [np.nan, 0.0], [0.95, 0.0]])
+    ids = np.array([5, 6, 7, 0])
+    assert N._close_rows(ids, u, np.array([1]), home, 0.9).tolist() == [5, 7]

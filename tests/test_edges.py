@@ -69,3 +69,15 @@ def test_mapping_last_item_wins_and_no_match(spark):
     mapped, rejects = map_to_items(parsed, items)
     assert [(r["ord"], r["item_ord"]) for r in mapped.collect()] == [(0, 5)]
     assert [r["reason"] for r in rejects.collect()] == ["no_source_item"]
+
+
+def test_mapping_is_written_once_for_both_sides(spark):
+    parsed = spark.createDataFrame([(1, 0, "sat on", "who"), (2, 0, "gone", "who"), (3, 0, "sat on", "gone")],
+                                   "ord long, block long, sentence_context string, question string")
+    items = spark.createDataFrame([(7, "who sat", ["cat"], (["a cat sat on it"],))],
+                                  "ord long, question string, answers array<string>, positive_ctxs struct<text: array<string>>")
+    mapped, rejects = map_to_items(parsed, items)
+    assert [tuple(r) for r in mapped.select("ord", "item_ord").collect()] == [(1, 7)]
+    assert sorted(r["key"] for r in rejects.collect()) == ["2:0", "3:0"]
+    for side in (mapped, rejects):  # not the whole search again
+        assert "Join" not in side._jdf.queryExecution().executedPlan().toString()
